@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokenfiles, urls, warc
+from . import packing, quality, tokenfiles, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +32,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_token_files": op7_token_files,
+    "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_quality_rules": quality.ORACLE}
