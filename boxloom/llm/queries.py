@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, tokenfiles, urls, warc
+from . import neardup, packing, quality, tokenfiles, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_token_files": op7_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
