@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, packing, quality, tokenfiles, urls, warc
+from . import decontaminate, neardup, packing, quality, shards, store, tokenfiles, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +32,26 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of")
 
 
+#: Bytes of a merged shard; the tables here are small.
+SHARD_BYTES = 32 << 20
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(_table(spark, sf_dir, "documents"), store.fresh_dir(spark, "shards"), SHARD_BYTES)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("content")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +61,10 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {"op10_quality_rules": quality.ORACLE}
