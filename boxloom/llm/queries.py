@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, packing, quality, shards, store, tokenfiles, toxicity, urls, warc
+from . import decontaminate, lm, neardup, packing, quality, shards, store, tokenfiles, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), SPLIT_BYTES)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return urls.judge(pages, urls.repeated_urls(pages))
@@ -37,7 +42,8 @@ SHARD_BYTES = 32 << 20
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.shard_documents(_table(spark, sf_dir, "documents"), store.fresh_dir(spark, "shards"), SHARD_BYTES)
+    rows = shards.shard_documents(_table(spark, sf_dir, "documents"), store.fresh_dir(spark, "shards"), SHARD_BYTES)
+    return rows.select("doc_id", "lang", "source", "n_chars", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), F.col("shard").endswith(".parquet").alias("sharded"))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
@@ -67,4 +74,7 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {"op10_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_sharding": "SELECT doc_id, lang, source, n_chars, md5(coalesce(text, '')) AS text_md5, true AS sharded FROM documents",
+    "op10_quality_rules": quality.ORACLE,
+}

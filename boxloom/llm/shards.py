@@ -146,12 +146,11 @@ class ShardStore:
 
 
 def shard_documents(docs: DataFrame, folder: str, target: int = TARGET_BYTES) -> DataFrame:
-    """docs arrives in a store below folder, is compacted and read back: per row its
-    doc_id, the digest of its text (null: empty), its shard and the version."""
+    """docs arrives in a store below folder, is compacted and read back, with
+    each row's shard."""
     store = ShardStore(docs.sparkSession, folder)
     store.append(docs)
     store.compact(target)
     final = store.compact(target, everything=True)
     store.vacuum()
-    rows = store.read(final["version"])
-    return rows.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5"), F.element_at(F.split("shard", "/"), -1).alias("shard"), F.lit(final["version"]).cast("bigint").alias("version"))
+    return store.read(final["version"])
