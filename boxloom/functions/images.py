@@ -7,8 +7,11 @@ import struct
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SIZE = "width int, height int, depth int"
+# Types as objects: type strings are parsed by a session, which an import may not have.
+SIZE = T.StructType([T.StructField(c, T.IntegerType()) for c in ("width", "height", "depth")])
+BOX = T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "w", "h")])
 
 
 def image_size(data: bytes) -> tuple[int, int, int] | None:
@@ -70,13 +73,13 @@ def _inside(p: np.ndarray, x: float, y: float) -> bool:
     return bool((spans & (x < at)).sum() % 2)
 
 
-@F.pandas_udf("x double, y double, w double, h double")
+@F.pandas_udf(BOX)
 def raster_box(points: pd.Series, width: pd.Series, height: pd.Series) -> pd.DataFrame:
     rows = [raster(p, w, h) if p is not None else None for p, w, h in zip(points, width, height)]
     return pd.DataFrame([r or (None,) * 4 for r in rows], columns=["x", "y", "w", "h"]).astype("float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def guess_charset(content: pd.Series) -> pd.Series:
     """Encoding by byte order mark, XML declaration, or what decodes: a heuristic."""
 
@@ -99,13 +102,13 @@ def guess_charset(content: pd.Series) -> pd.Series:
     return pd.Series([guess(c) if c is not None else None for c in content], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def float_text(value: pd.Series) -> pd.Series:
     """Shortest text of a double as Python writes it (1e-05), which SQL writes otherwise."""
     return pd.Series([None if pd.isna(v) else repr(float(v)) for v in value], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def blake2b(content: pd.Series) -> pd.Series:
     """128-bit BLAKE2b in hex, for digests that must equal stored ones."""
     import hashlib

@@ -390,13 +390,13 @@ def coco_json_roundtrip(s, d):
     return rows.withColumn("obj_ord", F.col("obj_ord").cast("bigint"))
 
 
-@query("SELECT image_key, obj_ord, name, width::INT AS width, round_even(xmin, 0) AS xmin, round_even(ymin, 0) AS ymin, round_even(xmax, 0) AS xmax, round_even(ymax, 0) AS ymax FROM objects JOIN images USING (image_key)")
+@query("SELECT image_key, obj_ord, name, width::INT AS width, round_even(xmin, 0)::INT AS xmin, round_even(ymin, 0)::INT AS ymin, round_even(xmax, 0)::INT AS xmax, round_even(ymax, 0)::INT AS ymax FROM objects JOIN images USING (image_key)")
 def voc_xml_roundtrip(s, d):
     docs = A.nest(V.objects(s, d)).join(V.images(s, d), "image_key").withColumns({"file_name": F.concat(F.col("image_key").cast("string"), F.lit(".jpg")), "path": F.lit(None).cast("string"), "depth": F.lit(3)})
     parsed = readers.parse_voc(docs.select(F.concat(F.lit("/x/"), F.col("image_key").cast("string"), F.lit(".xml")).alias("src_path"), writers.voc_xml().alias("xml")))
     sizes = readers.voc_images(parsed).select("image_key", "width")
     rows = readers.voc_objects(parsed).join(sizes, "image_key")
-    return rows.select(F.col("image_key").cast("bigint").alias("image_key"), F.col("obj_ord").cast("bigint").alias("obj_ord"), "name", "width", *CORNERS)
+    return rows.select(F.col("image_key").cast("bigint").alias("image_key"), F.col("obj_ord").cast("bigint").alias("obj_ord"), "name", "width", *(F.col(c).cast("int").alias(c) for c in CORNERS))
 
 
 @query(_YOLO + "SELECT image_key, row_number() OVER (PARTITION BY image_key ORDER BY obj_ord) - 1 AS line_no, class_id, cx, w FROM y")
