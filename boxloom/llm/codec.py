@@ -121,6 +121,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def release() -> None:
+    """Frees the words that this worker process remembers: a later operator may reuse it."""
+    codec.cache_clear()
+
+
 def slices(batch, rows: int = 256):
     """A record batch in short runs, so that few texts are Python strings at once."""
     for at in range(0, batch.num_rows, rows):

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import store
+from .codec import release
 from .wordhash import hash_words, mix, runs
 
 #: Fixed values. Six words count in each; the spans are 7, 8, 10 and 11 words.
@@ -72,6 +73,7 @@ def _hits(docs: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFram
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
 
     def find(batches):
+        release()
         held = bits.value
         for batch in batches:
             for run in runs(batch):

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import store
 from .bagminhash import signatures
+from .codec import release
 from .wordhash import hash_words, mix, runs, shingles
 
 SIMILARITY = 0.8
@@ -53,6 +54,7 @@ def _multisets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
 
 def _sign(bands: int, rows: int, width: int):
     def sign(batches):
+        release()
         for batch in batches:
             for run in runs(batch):
                 texts = run.column("text")

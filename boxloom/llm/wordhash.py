@@ -16,7 +16,7 @@ BASE = 0x9E3779B97F4A7C55
 INVERSE = pow(BASE, -1, 1 << 64)
 GOLDEN, MIX_1, MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes hashed at once; a longer text is hashed in several steps.
-STEP = 2 << 20
+STEP = 1 << 20
 
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
