@@ -80,5 +80,5 @@ def test_image_headers():
 
 def test_raster_box_clips_to_the_image():
     assert images.raster([[1, 1], [4, 1], [4, 3]], 10, 10) == (1, 1, 3, 2)
-    assert images.raster([[-5, 2], [20, 2], [20, 4]], 10, 10) == (0, 2, 9, 2)
+    assert images.raster([[-5, 2], [20, 2], [20, 4]], 10, 10) == (0, 2, 9, 1)  # the slope reaches y = 3.12 at the last column
     assert images.raster([[50, 50], [60, 60], [50, 60]], 10, 10) is None
