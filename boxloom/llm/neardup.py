@@ -7,7 +7,9 @@
    member is a candidate pair with it: as many pairs as members, whatever the
    bucket's size. Pairs of adjacent bands make finer buckets besides, with centres
    of their own, so that the few alike within a common bucket meet too. Members that
-   a centre did not link elect further centres among themselves, in later rounds.
+   are not yet in their centre's class elect further centres among themselves, in later
+   rounds, until no bucket has two of them or a round links nothing. That last
+   is no proof: a link whose two ends never met a centre in time is missed.
 3. Pairs whose signatures agree enough are verified on the texts: multiset overlap
    of SIMILARITY or more is a link.
 4. Classes are the connected components of the links, found by distributed rounds
@@ -20,6 +22,7 @@ of 0.0004, of 0.9 with 1e-8.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -37,7 +40,6 @@ WIDTH = 5
 BANDS, ROWS = 20, 5
 #: Of a signature's registers, the share that must agree for a pair to be verified: five standard deviations below SIMILARITY.
 LIKELY = 0.6
-ROUNDS = 3
 
 SIGNED = "doc_id bigint, content bigint, key binary, bands array<bigint>, low binary"
 
@@ -126,7 +128,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("was")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, content (xxhash64 of the text), class_id
     and copy_of, the least doc_id with the same words in the same order.
 
@@ -147,8 +149,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
     shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
     members = store.table(members.join(store.table(shared, "shared"), "bucket"), "members")
 
-    seen, links = None, None
-    for k in range(rounds):
+    seen, named = None, None
+    for k in itertools.count():
         centre = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(k)), "rep")).alias("c"))
         centre = store.table(centre.select("bucket", F.col("c.rep").alias("centre")), "centres")
         met = store.table(members.join(centre, "bucket").where("rep != centre"), "met")
@@ -159,19 +161,21 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
         likely = pairs.join(low.select(F.col("rep").alias("a"), F.col("low").alias("x")), "a").join(low.select(F.col("rep").alias("b"), F.col("low").alias("y")), "b")
         likely = store.table(likely.where(_agreement(bands * rows)("x", "y") >= LIKELY).select("a", "b"), "likely")
         found = store.table(_verified(docs, nodes, likely, similarity, width), "verified")
-        links = found if links is None else links.union(found)
+        if named is not None and not found.limit(1).count():
+            break
+        stars = found if named is None else found.union(named.where("node != class").toDF("a", "b"))
+        named = components(stars)
         tried = pairs.select("a", "b")
         seen = store.table(tried if seen is None else seen.union(tried), "seen")
-        if k == rounds - 1:
-            break
-        # members that their centre did not link go on, where there are two at least
-        linked = found.union(found.select(F.col("b"), F.col("a"))).toDF("rep", "centre")
-        left = met.join(linked, ["rep", "centre"], "left_anti").select("rep", "bucket")
-        members = store.table(left, "left")
+        # members that are not yet in their centre's class go on, where there are two at least
+        own, its = named.toDF("rep", "own"), named.toDF("centre", "its")
+        apart = met.join(own, "rep", "left").join(its, "centre", "left").where(F.coalesce("own", "rep") != F.coalesce("its", "centre"))
+        members = store.table(apart.select("rep", "bucket"), "left")
         again = members.groupBy("bucket").count().where("count > 1").select("bucket")
         members = store.table(members.join(store.table(again, "again"), "bucket"), "members")
-    found = components(links)
-    named = store.table(reps.join(found, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("copy_of"), F.coalesce("class", "rep").alias("class_id")), "named")
+        if not members.limit(1).count():
+            break
+    named = store.table(reps.join(named, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("copy_of"), F.coalesce("class", "rep").alias("class_id")), "named")
     out = signed.select("doc_id", "content", "key").join(named, "key", "left")
     alone = F.col("doc_id").isNull() | F.col("key").isNull()
     return out.select("doc_id", "content", *(F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "copy_of")))
