@@ -29,6 +29,8 @@ from .codec import slices
 LEAST_REVISIT = 1000
 MAGIC = b"\x1f\x8b\x08"
 BLOCK = 1 << 20
+#: Bytes given to the decoder at once.
+CHUNK = 1 << 16
 #: Bytes of one record's headers at most.
 HEADERS = 1 << 16
 
@@ -128,7 +130,7 @@ def _member(window: _Window, at: int, whole: bool) -> tuple[bytes, int] | None:
     whole: as much as the headers need, and no end."""
     decoder, parts, got, offset = zlib.decompressobj(31), [], 0, at
     while not decoder.eof:
-        raw = window.need(offset, BLOCK if whole else 1 << 14)
+        raw = window.need(offset, CHUNK if whole else 1 << 14)
         if not raw:
             return None
         try:
