@@ -26,6 +26,8 @@ from .wordhash import hash_words, mix
 ORDER = 2
 BACKOFF = 0.4
 BLOCK_DOCS = 4096
+#: Bytes of text of a block on average at most.
+BLOCK_BYTES = 64 << 20
 ODD = np.uint64(0xD1342543DE82EF95)
 
 
@@ -134,13 +136,13 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_
     without context) and score, the mean log10 of the words' stupid-backoff scores.
 
     Words are lower-case runs without white space. A text without words has a null
-    score. Rows are documents: a repeated row counts for the other. Null ids stay null;
-    they share a block, so a table should not have millions of them."""
+    score. Rows are documents: a repeated row counts for the other. Null ids stay null.
+    Blocks take at most block_docs rows and BLOCK_BYTES on average, dealt by id and text."""
     spark = docs.sparkSession
-    count = docs.count()
-    blocks = max(1, -(-count // block_docs))
+    sizes = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-sizes.n // block_docs), -(-(sizes.bytes or 0) // BLOCK_BYTES))
     parts = min(blocks, 2 * store.partitions(spark)) if blocks > 1 else 1
-    dealt = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
+    dealt = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
     dealt = dealt.repartition(parts, "block")
     asked = dealt.groupBy("block").applyInArrow(_ask(order, blocks), "block bigint, bucket bigint, keys binary, counts binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, totals binary")
