@@ -140,7 +140,7 @@ def leaks(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, win
     there = spots.withColumnRenamed("doc_id", "__id").withColumnRenamed("content", "__content")
     sides = texts.join(there, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("content") == F.col("__content"))).drop("__id", "__content")
     item_rows = store.table(items.select("item_id", F.col("text").alias("item")).where("item IS NOT NULL"), "items")
-    sides = sides.join(store.small(item_rows, 20_000), "item_id").withColumn("matched", aligned(window, share)("text", "item", "place"))
+    sides = sides.join(store.small(item_rows, 20_000, F.octet_length("item")), "item_id").withColumn("matched", aligned(window, share)("text", "item", "place"))
     found = sides.where("matched IS NOT NULL").groupBy("doc_id", "content", "item_id").agg(F.max(F.struct("matched", (-F.col("place")).alias("back"))).alias("best"))
     return found.select("doc_id", "content", "item_id", (-F.col("best.back")).alias("place"), F.col("best.matched").alias("matched"))
 

@@ -148,7 +148,7 @@ def keep(docs: DataFrame, line_docs: int = LINE_DOCS, share: int = LINE_SHARE) -
     words = words_of(text)
     marked = docs.withColumns({"__own": _content(text), "__n": F.size(words).cast("bigint"), "__repeat": repeat_words(words)})
     marked = marked.where((F.col("__n") >= LEAST_WORDS) & (100 * F.col("__repeat") <= REPEAT_PERCENT * F.col("__n")))
-    joined = marked.join(store.small(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__content")), "left")
+    joined = marked.join(store.small(gone, size=8 * F.size("__keys")), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__content")), "left")
     joined = joined.where(2 * F.coalesce("__removed", F.lit(0)) <= F.col("__n"))
     host = F.coalesce(F.col("source").cast("string"), F.lit(""))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda v: ~F.coalesce(F.array_contains(F.col("__keys"), F.xxhash64(host, normalised(v))), F.lit(False))), "\n")

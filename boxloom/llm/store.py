@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -46,12 +46,19 @@ def drop(spark: SparkSession, path: str) -> None:
 
 #: Rows of a table that may be broadcast: of narrow rows, some tens of MB.
 BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df, a written table of narrow rows, marked for broadcast if its counted
-    rows are within the limit. Beyond it the join shuffles."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+#: Bytes of the texts or lists of a table that may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
+    """df, a written table, marked for broadcast if its counted rows are within the
+    limit. Beyond it the join shuffles. Where rows hold texts or lists, `size` is the
+    bytes of one row, whose sum must be within BROADCAST_BYTES too."""
+    if df.limit(limit + 1).count() > limit:
+        return df
+    if size is not None and (df.agg(F.sum(size)).first()[0] or 0) > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
 
 
 def partitions(spark: SparkSession) -> int:
