@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: The normalizer and pre-tokenizer under which a word's ids depend on that word alone.
 NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -122,8 +125,14 @@ def codec(path: str) -> Codec:
 
 
 def release() -> None:
-    """Frees the words that this worker process remembers: a later operator may reuse it."""
+    """Frees the words that this worker process remembers, and hands free memory back to
+    the system: a later operator may reuse the process."""
     codec.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def slices(batch, rows: int = 256):

@@ -74,6 +74,8 @@ def _sign(bands: int, rows: int, width: int):
                     [run.column("doc_id").cast(pa.int64()), run.column("content"), pa.array(keys, pa.binary()), lists, pa.array([x.tobytes() for x in low], pa.binary())], names=["doc_id", "content", "key", "bands", "low"]
                 )
 
+        release()
+
     return sign
 
 
@@ -89,10 +91,10 @@ def _agreement(registers: int):
 
 def overlap(width: int = WIDTH):
     """Multiset Jaccard similarity of the shingles of two texts, as a column function."""
-    @F.pandas_udf("double")
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
         out = np.zeros(len(a))
-        table = pa.RecordBatch.from_pydict({"text": pa.array(a, pa.large_string()), "other": pa.array(b, pa.large_string())})
+        table = pa.RecordBatch.from_arrays([a, b], names=["text", "other"])
         at = 0
         for run in runs(table):
             n = run.num_rows
@@ -105,7 +107,7 @@ def overlap(width: int = WIDTH):
             total = np.bincount(o, w, n) - common
             out[at : at + n] = np.where(total > 0, common / np.maximum(total, 1), 0)
             at += n
-        return pd.Series(out)
+        return pa.array(out)
 
     return similar
 

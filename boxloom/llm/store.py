@@ -27,13 +27,26 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's limit to the bytes of an Arrow batch, and the one used here: texts can be long.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: df written as Parquet to the shared folder, and reread.
 
-    Replicated storage holds the rows, so a lost executor costs no recomputation."""
+    Replicated storage holds the rows, so a lost executor costs no recomputation.
+    Meanwhile the rows that go to Python come in batches of about BATCH_BYTES."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)
+        else:
+            spark.conf.set(BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
