@@ -18,7 +18,7 @@ SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: is part of contractions. The tokenizer always cuts between the two.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 #: Entries that a worker remembers at most.
-MAX_WORDS, MAX_STEMS = 400_000, 600_000
+MAX_WORDS, MAX_STEMS = 200_000, 300_000
 
 
 def default_path() -> str:
@@ -121,18 +121,24 @@ def codec(path: str) -> Codec:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Codec(path)
+    made = Codec(path)
+    trim()  # reading the vocabulary leaves much behind
+    return made
 
 
 def release() -> None:
-    """Frees the words that this worker process remembers, and hands free memory back to
-    the system: a later operator may reuse the process."""
+    """Frees the words that this worker process remembers: a later operator may reuse it."""
     codec.cache_clear()
+    trim()
+
+
+def trim() -> None:
+    """Hands free memory of this process back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-    if trim:
-        trim(0)
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if give:
+        give(0)
 
 
 def slices(batch, rows: int = 256):
