@@ -36,7 +36,7 @@ class Codec:
     empty text has no ids. Memory is bounded by MAX_WORDS and MAX_STEMS."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -46,9 +46,13 @@ class Codec:
         self.by_word = (
             (spec.get("normalizer") or {}).get("normalizers") == NORMALIZER
             and split == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+            and [(p.get("type"), p.get("add_prefix_space")) for p in parts[1:]] == [("ByteLevel", False)]
             and spec["model"].get("end_of_word_suffix") == "</w>"
-            and not any(any(c.isspace() for c in t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+            and not any(any(c.isspace() for c in t["content"]) or t["lstrip"] or t["rstrip"] or PLAIN.fullmatch(t["content"]) for t in spec["added_tokens"])
         )
+        # for units, which are normalized pre-tokens already: the model behind a cut at blanks
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
@@ -65,7 +69,7 @@ class Codec:
         for at in range(0, len(units), 4096):
             part = units[at : at + 4096]
             lines = [" ".join(part[k : k + 64]) for k in range(0, len(part), 64)]
-            ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+            ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)])
             ends = (np.flatnonzero(self.last[ids]) + 1) * self.dtype.itemsize
             if len(ends) != len(part):
                 raise ValueError("this tokenizer does not close each word")
@@ -82,12 +86,15 @@ class Codec:
         plain, units, other = [], set(), []
         for word in words:
             if m := PLAIN.fullmatch(word):
-                stem, marks = m[1].lower(), m[2]
+                stem, marks = m.groups()
+                stem = stem.lower()
                 plain.append((word, stem, marks))
-                units.update(x for x in (stem, marks) if x and x not in self.stems)
+                units.add(stem)
+                units.add(marks)
             else:
                 other.append(word)
-        self._encode_units(list(units))
+        units.discard("")
+        self._encode_units([x for x in units if x not in self.stems])
         self.stems[""] = b""
         for word, stem, marks in plain:
             self.words[word] = self.stems[stem] + self.stems[marks]
