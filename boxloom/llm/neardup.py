@@ -3,13 +3,16 @@
 1. One pass makes of each text a key (of its words, in order), a signature of the
    multiset of its five-word shingles, and band hashes. Texts with equal keys are
    copies; the least doc_id of each key represents them from here on.
-2. A band hash is a bucket. Each bucket elects a centre at random, and each other
-   member is a candidate pair with it: as many pairs as members, whatever the
-   bucket's size. Pairs of adjacent bands make finer buckets besides, with centres
-   of their own, so that the few alike within a common bucket meet too. Members that
-   are not yet in their centre's class elect further centres among themselves, in later
-   rounds, until no bucket has two of them or a round links nothing. That last
-   is no proof: a link whose two ends never met a centre in time is missed.
+2. A band hash is a bucket. In STARS rounds each bucket elects a centre at random, and
+   each other member is a candidate pair with it: as many pairs as members, whatever
+   the bucket's size. Pairs of adjacent bands make finer buckets besides, with centres
+   of their own. Members that are not yet in their centre's class elect another one in
+   the next round. This joins most of a large group.
+   Then the members of a bucket outside its largest class are compared, by signature,
+   with all members of other classes, those that have links included, in blocks dealt
+   over the tasks. A round takes the likeliest MOST of each member in a block, later
+   ones MORE times as many, until a round had to leave none out: then each likely pair of
+   a bucket was verified, or its ends are in one class.
 3. Pairs whose signatures agree enough are verified on the texts: multiset overlap
    of SIMILARITY or more is a link.
 4. Classes are the connected components of the links, found by distributed rounds
@@ -22,7 +25,6 @@ of 0.0004, of 0.9 with 1e-8.
 from __future__ import annotations
 
 import hashlib
-import itertools
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,12 @@ WIDTH = 5
 BANDS, ROWS = 20, 5
 #: Of a signature's registers, the share that must agree for a pair to be verified: five standard deviations below SIMILARITY.
 LIKELY = 0.6
+#: Rounds of centres, before all members of different classes are compared.
+STARS = 2
+#: Members of a block on either side, on average at most.
+BLOCK = 1024
+#: Pairs of a member that a block gives in the first round of blocks, and how many times as many in each later one.
+MOST, MORE = 8, 8
 
 SIGNED = "doc_id bigint, content bigint, key binary, bands array<bigint>, low binary"
 
@@ -112,6 +120,60 @@ def overlap(width: int = WIDTH):
     return similar
 
 
+def _likeliest(registers: int, most: int):
+    """Of a block, the pairs of a visitor and a resident of another class whose signatures
+    agree enough: of each visitor the `most` that agree best, and whether it has more."""
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        reps, own = (table.column(c).to_numpy() for c in ("rep", "own"))
+        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint16).reshape(-1, registers)
+        visits, apart = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("visits", "apart"))
+        v, h = np.flatnonzero(visits), np.flatnonzero(~visits)
+        resident = np.ascontiguousarray(low[h].T)
+        made = []
+        for at in range(0, len(v), 256):
+            some = v[at : at + 256]
+            agree = np.zeros((len(some), len(h)), np.uint16)
+            for k in range(registers):
+                agree += low[some, k][:, None] == resident[k][None, :]
+            agree[(own[some][:, None] == own[h][None, :]) | (agree < LIKELY * registers)] = 0
+            # two that both visit meet twice; with nothing left out, once will do
+            if most >= len(h):
+                agree[apart[h][None, :] & (reps[some][:, None] > reps[h][None, :])] = 0
+                x, y = np.nonzero(agree)
+                made.append((some[x], h[y], np.zeros(len(x), bool)))
+                continue
+            left = np.argpartition(-agree.astype(np.int32), most - 1, axis=1)[:, :most]
+            more = np.count_nonzero(agree, axis=1) > most
+            x, y = np.nonzero(np.take_along_axis(agree, left, 1))
+            made.append((some[x], h[left[x, y]], more[x]))
+        x, y, more = (np.concatenate(c) for c in zip(*made)) if made else (np.zeros(0, np.int64),) * 3
+        return pa.table({"a": pa.array(np.minimum(reps[x], reps[y]), pa.int64()), "b": pa.array(np.maximum(reps[x], reps[y]), pa.int64()), "more": pa.array(more.astype(bool))})
+
+    return compare
+
+
+def _across(members: DataFrame, low: DataFrame, named: DataFrame, registers: int, most: int, block: int) -> DataFrame | None:
+    """A stored table (a, b, more) of the likely pairs of a bucket between classes, as of
+    _likeliest; None if each bucket's members are of one class."""
+    own = members.join(named.toDF("rep", "class"), "rep", "left").select("rep", "bucket", F.coalesce("class", "rep").alias("own"))
+    own = store.table(own, "own")
+    sizes = own.groupBy("bucket", "own").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "own")).alias("m"), F.count("*").alias("k")).where("k > 1")
+    parts = lambda n: F.ceil(n / block).cast("int")
+    mixed = store.table(mixed.select("bucket", F.col("m.own").alias("main"), parts(F.col("all")).alias("homes"), parts(F.col("all") - F.col("m.n")).alias("rooms")), "mixed")
+    if not mixed.limit(1).count():
+        return None
+    rows = own.join(store.small(mixed), "bucket").withColumn("apart", F.col("own") != F.col("main"))
+    rows = store.table(rows.join(low, "rep").drop("main"), "sides")
+    place = lambda seed, n: F.pmod(F.xxhash64("rep", "bucket", F.lit(seed)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    names = ("rep", "own", "low", "apart", "bucket")
+    at_home = rows.select(*names, F.lit(False).alias("visits"), place(1, "homes").alias("home"), each("rooms").alias("room"))
+    visitors = rows.where("apart").select(*names, F.lit(True).alias("visits"), place(2, "rooms").alias("room"), each("homes").alias("home"))
+    met = at_home.unionByName(visitors).groupBy("bucket", "home", "room").applyInArrow(_likeliest(registers, most), "a bigint, b bigint, more boolean")
+    return store.table(met.groupBy("a", "b").agg(F.max("more").alias("more")), "across")
+
+
 def components(links: DataFrame) -> DataFrame:
     """links (a, b) to (node, class): the least node of its connected component.
 
@@ -130,7 +192,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("was")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, content (xxhash64 of the text), class_id
     and copy_of, the least doc_id with the same words in the same order.
 
@@ -147,12 +209,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
     nodes = store.table(same.where((F.col("doc_id") == F.col("rep")) & (F.col("content") == F.col("own"))).select("rep", "content", "bands", "low").dropDuplicates(["rep"]), "nodes")
 
     finer = F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda k: F.xxhash64(F.get("bands", k - 1), F.get("bands", k % bands)))
-    members = store.table(nodes.select("rep", F.explode(F.concat("bands", finer)).alias("bucket")), "members")
+    members = store.table(nodes.select("rep", F.posexplode(F.concat("bands", finer)).alias("band", "bucket")), "members")
     shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
     members = store.table(members.join(store.table(shared, "shared"), "bucket"), "members")
+    # what shares a finer bucket shares its bands too
+    whole, members = members.where(F.col("band") < bands).select("rep", "bucket"), members.select("rep", "bucket")
 
     seen, named = None, None
-    for k in itertools.count():
+    for k in range(STARS):
         centre = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(k)), "rep")).alias("c"))
         centre = store.table(centre.select("bucket", F.col("c.rep").alias("centre")), "centres")
         met = store.table(members.join(centre, "bucket").where("rep != centre"), "met")
@@ -163,8 +227,6 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
         likely = pairs.join(low.select(F.col("rep").alias("a"), F.col("low").alias("x")), "a").join(low.select(F.col("rep").alias("b"), F.col("low").alias("y")), "b")
         likely = store.table(likely.where(_agreement(bands * rows)("x", "y") >= LIKELY).select("a", "b"), "likely")
         found = store.table(_verified(docs, nodes, likely, similarity, width), "verified")
-        if named is not None and not found.limit(1).count():
-            break
         stars = found if named is None else found.union(named.where("node != class").toDF("a", "b"))
         named = components(stars)
         tried = pairs.select("a", "b")
@@ -177,6 +239,19 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
         members = store.table(members.join(store.table(again, "again"), "bucket"), "members")
         if not members.limit(1).count():
             break
+    low, most = nodes.select("rep", "low"), MOST
+    while True:
+        across = _across(whole, low, named, bands * rows, most, block)
+        if across is None:
+            break
+        likely = store.table(across.select("a", "b").join(seen, ["a", "b"], "left_anti"), "likely")
+        found = store.table(_verified(docs, nodes, likely, similarity, width), "verified")
+        if found.limit(1).count():
+            named = components(found.union(named.where("node != class").toDF("a", "b")))
+        if not across.where("more").limit(1).count():
+            break
+        seen = store.table(seen.union(likely), "seen")
+        most *= MORE
     named = store.table(reps.join(named, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("copy_of"), F.coalesce("class", "rep").alias("class_id")), "named")
     out = signed.select("doc_id", "content", "key").join(named, "key", "left")
     alone = F.col("doc_id").isNull() | F.col("key").isNull()

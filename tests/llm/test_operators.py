@@ -194,6 +194,22 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and kept.columns == docs(spark, texts).columns
 
 
+@pytest.mark.parametrize("copies, block", [(1000, None), (120, 16)])
+def test_near_duplicates_link_copies_through_their_original(spark, copies, block):
+    hub, rng, texts = words(200).split(), random.Random(7), []
+    for k in range(copies):
+        w = list(hub)
+        for at in rng.sample(range(10, 190, 6), 3):
+            w[at] = f"new{k}x{at}"
+        texts.append(" ".join(w))
+    texts.insert(copies // 2, " ".join(hub))
+    bags = [multiset(t) for t in texts]
+    alike = lambda a, b: sum((bags[a] & bags[b]).values()) >= 0.8 * sum((bags[a] | bags[b]).values())
+    assert all(alike(copies // 2, k) for k in range(copies + 1)) and sum(alike(0, k) for k in range(copies + 1)) < copies / 10
+    found = neardup.classes(docs(spark, texts), **({"block": block} if block else {}))
+    assert {r.class_id for r in found.collect()} == {0}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     long = words(40)
     rows = docs(spark, [long, long, long, "", None, long + " end"], [4, 4, None, 6, 7, 2])
