@@ -21,7 +21,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(_table(spark, sf_dir, "documents"))
+    return lm.scores(_table(spark, sf_dir, "documents"), order=3)
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

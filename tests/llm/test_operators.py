@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from boxloom.llm import bagminhash, decontaminate, lm, neardup, packing, quality, shards, store, tokenfiles, toxicity, urls, warc, wordhash
+from boxloom.llm import bagminhash, decontaminate, lm, neardup, packing, quality, queries, shards, store, tokenfiles, toxicity, urls, warc, wordhash
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept string, key string, uid int"
 
@@ -293,6 +293,26 @@ def test_toxicity_learns_from_positives_only_of_its_folds(spark):
 # Language model and shards
 
 
+def test_the_query_scores_words_by_trigrams(spark, tmp_path):
+    texts = ["a b c a b", "a b d", None, "x", "a b c a b d", "b c a d", "c a b c"]
+    docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in queries.op2_lm_scoring(spark, str(tmp_path)).collect()}
+    bags = [(t or "").split() for t in texts]
+    counts = lambda b: Counter(tuple(b[k : k + n]) for n in (1, 2, 3) for k in range(len(b) - n + 1))
+    total, used = sum((counts(b) for b in bags), Counter()), 0
+    for k, b in enumerate(bags):
+        rest, logs = total - counts(b), []
+        words_left = sum(v for g, v in rest.items() if len(g) == 1)
+        for i in range(len(b)):
+            most = min(3, i + 1)
+            n = next((n for n in range(most, 1, -1) if rest[tuple(b[i - n + 1 : i + 1])] and rest[tuple(b[i - n + 1 : i])]), 1)
+            used += n == 3
+            gram = tuple(b[i - n + 1 : i + 1])
+            logs.append((most - n) * math.log10(0.4) + math.log10(rest[gram] or 0.5) - math.log10(rest[gram[:-1]] if n > 1 else words_left))
+        assert got[k] == (pytest.approx(sum(logs) / len(logs)) if b else None)
+    assert used > 5
+
+
 def test_stupid_backoff_equals_brute_force(spark):
     texts = ["a b c a b", "a b d", None, "", "x", "a b c a b", "B c A"]
     got = {r.doc_id: r for r in lm.scores(docs(spark, texts), block_docs=2).collect()}
