@@ -2,24 +2,25 @@
 
 1. One pass makes of each text a key (of its words, in order), a signature of the
    multiset of its five-word shingles, and band hashes. Texts with equal keys are
-   copies; the least doc_id of each key represents them from here on.
-2. A band hash is a bucket. In STARS rounds each bucket elects a centre at random, and
-   each other member is a candidate pair with it: as many pairs as members, whatever
-   the bucket's size. Pairs of adjacent bands make finer buckets besides, with centres
-   of their own. Members that are not yet in their centre's class elect another one in
-   the next round. This joins most of a large group.
-   Then the members of a bucket outside its largest class are compared, by signature,
-   with all members of other classes, those that have links included, in blocks dealt
-   over the tasks. A round takes the likeliest MOST of each member in a block, later
-   ones MORE times as many, until a round had to leave none out: then each likely pair of
-   a bucket was verified, or its ends are in one class.
-3. Pairs whose signatures agree enough are verified on the texts: multiset overlap
-   of SIMILARITY or more is a link.
-4. Classes are the connected components of the links, found by distributed rounds
-   of least labels with pointer jumping; the class is named by its least doc_id.
-
-With 20 bands of 5 rows a pair of similarity 0.8 shares no bucket with a probability
-of 0.0004, of 0.9 with 1e-8.
+   copies; each key is one node, represented by its least doc_id from here on.
+2. A band hash is a bucket. Each bucket elects two centres, one at random and one that
+   has the most company over all its buckets, such as the original of many copies. Each
+   member is a candidate pair with them: as many pairs as members, whatever the
+   bucket's size. Pairs whose signatures agree enough are verified on the texts, and
+   the classes so far are the connected components of the links.
+3. In buckets that still hold several classes, the members outside the largest class
+   (visitors) meet all members (residents) in cells of bounded rows and bytes. A first
+   pass over the cells keeps those whose signatures agree enough with one of another
+   class. To these alone come their texts, and a second pass verifies each visitor with
+   each resident of another class. A link joins the two classes within the cell, so a
+   cell gives fewer links than it has members, never its pairs.
+4. Classes are the connected components of all links, found by distributed rounds of
+   least labels with pointer jumping; a class is named by its least doc_id.
+
+Two texts whose multisets of shingles overlap by SIMILARITY or more are linked. With 20
+bands of 5 rows a pair of similarity 0.8 shares no bucket with a probability of 0.0004,
+of 0.9 with 1e-8; nothing else that depends on chance or size leaves a pair out, apart
+from LIKELY.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import store
@@ -42,14 +43,12 @@ WIDTH = 5
 BANDS, ROWS = 20, 5
 #: Of a signature's registers, the share that must agree for a pair to be verified: five standard deviations below SIMILARITY.
 LIKELY = 0.6
-#: Rounds of centres, before all members of different classes are compared.
-STARS = 2
-#: Members of a block on either side, on average at most.
-BLOCK = 1024
-#: Pairs of a member that a block gives in the first round of blocks, and how many times as many in each later one.
-MOST, MORE = 8, 8
+#: Rows and bytes of text on either side of a cell, on average at most.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
+#: A key of more rows than this, and than one in HOT_SHARE of all, is joined by broadcast: there are at most HOT_SHARE of them.
+HOT_ROWS, HOT_SHARE = 1024, 50_000
 
-SIGNED = "doc_id bigint, content bigint, key binary, bands array<bigint>, low binary"
+SIGNED = "doc_id bigint, content bigint, size bigint, key binary, bands array<bigint>, low binary"
 
 
 def _multisets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,6 +61,34 @@ def _multisets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
     return made[first], np.diff(np.concatenate([first, [len(made)]])), owner[first]
 
 
+def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(elements, offsets): of each text the set of its (shingle, how many-th) as small
+    numbers. Two of these sets overlap as the multisets of shingles do."""
+    shingle, weight, owner = _multisets(texts, width)
+    nth = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+    element = mix(np.repeat(shingle, weight) ^ mix(nth.astype(np.uint64)))
+    _, number = np.unique(element, return_inverse=True)
+    return number, np.searchsorted(np.repeat(owner, weight), np.arange(len(texts) + 1))
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def _jaccards(elements: np.ndarray, offsets: np.ndarray, flags: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+    """The overlap of set `one` with each of the others. flags: all false, and again at the end."""
+    own = elements[offsets[one] : offsets[one + 1]]
+    lengths = offsets[others + 1] - offsets[others]
+    flags[own] = True
+    hits = np.concatenate([[0], np.cumsum(flags[elements[_spans(offsets[others], lengths)]])])
+    flags[own] = False
+    ends = np.cumsum(lengths)
+    common = hits[ends] - hits[ends - lengths]
+    return common / np.maximum(len(own) + lengths - common, 1)
+
+
 def _sign(bands: int, rows: int, width: int):
     def sign(batches):
         release()
@@ -79,7 +106,8 @@ def _sign(bands: int, rows: int, width: int):
                 flat = pa.array(made.reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, bands), pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [run.column("doc_id").cast(pa.int64()), run.column("content"), pa.array(keys, pa.binary()), lists, pa.array([x.tobytes() for x in low], pa.binary())], names=["doc_id", "content", "key", "bands", "low"]
+                    [run.column("doc_id").cast(pa.int64()), run.column("content"), run.column("size"), pa.array(keys, pa.binary()), lists, pa.array([x.tobytes() for x in low], pa.binary())],
+                    names=[c.split()[0] for c in SIGNED.split(", ")],
                 )
 
         release()
@@ -98,98 +126,159 @@ def _agreement(registers: int):
 
 
 def overlap(width: int = WIDTH):
-    """Multiset Jaccard similarity of the shingles of two texts, as a column function."""
+    """Multiset Jaccard similarity of the shingles of two texts, as a column function.
+    Two texts without words overlap by 0."""
     @F.arrow_udf("double")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = np.zeros(len(a))
-        table = pa.RecordBatch.from_arrays([a, b], names=["text", "other"])
-        at = 0
-        for run in runs(table):
+        out, at = np.zeros(len(a)), 0
+        for run in runs(pa.RecordBatch.from_arrays([a, b], names=["text", "other"])):
             n = run.num_rows
-            (x, wx, ox), (y, wy, oy) = _multisets(run.column("text"), width), _multisets(run.column("other"), width)
-            shingle, weight, owner = np.concatenate([x, y]), np.concatenate([wx, wy]), np.concatenate([ox, oy])
-            order = np.lexsort((shingle, owner))
-            s, w, o = shingle[order], weight[order], owner[order]
-            both = np.flatnonzero((s[1:] == s[:-1]) & (o[1:] == o[:-1]))
-            common = np.bincount(o[both], np.minimum(w[both], w[both + 1]), n)
-            total = np.bincount(o, w, n) - common
-            out[at : at + n] = np.where(total > 0, common / np.maximum(total, 1), 0)
+            coded = pa.concat_arrays([run.column("text"), run.column("other")]).dictionary_encode()  # a text is hashed once
+            elements, offsets = _sets(coded.dictionary, width)
+            x, y = np.split(coded.indices.to_numpy(zero_copy_only=False), 2)
+            flags = np.zeros(int(elements.max(initial=-1)) + 1, bool)
+            order = np.argsort(x, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+                out[at + some] = _jaccards(elements, offsets, flags, x[some[0]], y[some])
             at += n
         return pa.array(out)
 
     return similar
 
 
-def _likeliest(registers: int, most: int):
-    """Of a block, the pairs of a visitor and a resident of another class whose signatures
-    agree enough: of each visitor the `most` that agree best, and whether it has more."""
-    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        reps, own = (table.column(c).to_numpy() for c in ("rep", "own"))
+# Cells of a bucket that holds several classes
+
+CELL = ["bucket", "home", "room"]
+FLAGGED = "bucket bigint, home int, room int, node bigint, own bigint, visits boolean"
+
+
+def _flag(registers: int):
+    """Of a cell, its members whose signatures agree enough with one of another class on the other side."""
+    def flag(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        own = table.column("own").to_numpy()
         low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint16).reshape(-1, registers)
-        visits, apart = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("visits", "apart"))
+        visits = table.column("visits").to_numpy(zero_copy_only=False).astype(bool)
         v, h = np.flatnonzero(visits), np.flatnonzero(~visits)
-        resident = np.ascontiguousarray(low[h].T)
-        made = []
+        resident, hit = np.ascontiguousarray(low[h].T), np.zeros(len(own), bool)
         for at in range(0, len(v), 256):
             some = v[at : at + 256]
             agree = np.zeros((len(some), len(h)), np.uint16)
             for k in range(registers):
                 agree += low[some, k][:, None] == resident[k][None, :]
-            agree[(own[some][:, None] == own[h][None, :]) | (agree < LIKELY * registers)] = 0
-            # two that both visit meet twice; with nothing left out, once will do
-            if most >= len(h):
-                agree[apart[h][None, :] & (reps[some][:, None] > reps[h][None, :])] = 0
-                x, y = np.nonzero(agree)
-                made.append((some[x], h[y], np.zeros(len(x), bool)))
+            likely = (agree >= LIKELY * registers) & (own[some][:, None] != own[h][None, :])
+            hit[some] = likely.any(axis=1)
+            hit[h] |= likely.any(axis=0)
+        return table.select([*CELL, "node", "own", "visits"]).filter(pa.array(hit))
+
+    return flag
+
+
+def _join(similarity: float, width: int):
+    """Of a cell, links (a, b) that join the classes of its visitors and residents as all verified pairs would."""
+    def join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        node, own = table.column("node").to_numpy(), table.column("own").to_numpy().copy()
+        visits = table.column("visits").to_numpy(zero_copy_only=False).astype(bool)
+        coded = table.column("text").combine_chunks().dictionary_encode()  # a member may be on both sides
+        (elements, offsets), place = _sets(coded.dictionary, width), coded.indices.to_numpy(zero_copy_only=False)
+        flags, lengths = np.zeros(int(elements.max(initial=-1)) + 1, bool), np.diff(offsets)[place]
+        residents, made = np.flatnonzero(~visits), []
+        for v in np.flatnonzero(visits).tolist():
+            few, many = np.minimum(lengths[residents], lengths[v]), np.maximum(lengths[residents], lengths[v])
+            some = residents[(own[residents] != own[v]) & (few >= similarity * many)]
+            if not len(some):
                 continue
-            left = np.argpartition(-agree.astype(np.int32), most - 1, axis=1)[:, :most]
-            more = np.count_nonzero(agree, axis=1) > most
-            x, y = np.nonzero(np.take_along_axis(agree, left, 1))
-            made.append((some[x], h[left[x, y]], more[x]))
-        x, y, more = (np.concatenate(c) for c in zip(*made)) if made else (np.zeros(0, np.int64),) * 3
-        return pa.table({"a": pa.array(np.minimum(reps[x], reps[y]), pa.int64()), "b": pa.array(np.maximum(reps[x], reps[y]), pa.int64()), "more": pa.array(more.astype(bool))})
+            some = some[_jaccards(elements, offsets, flags, place[v], place[some]) >= similarity]
+            classes, first = np.unique(own[some], return_index=True)
+            made += [(node[v], node[h]) for h in some[first]]
+            own[np.isin(own, classes)] = own[v]
+        a, b = (np.array(x, np.int64) for x in zip(*made)) if made else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return compare
+    return join
 
 
-def _across(members: DataFrame, low: DataFrame, named: DataFrame, registers: int, most: int, block: int) -> DataFrame | None:
-    """A stored table (a, b, more) of the likely pairs of a bucket between classes, as of
-    _likeliest; None if each bucket's members are of one class."""
-    own = members.join(named.toDF("rep", "class"), "rep", "left").select("rep", "bucket", F.coalesce("class", "rep").alias("own"))
+def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, named: DataFrame, linked: int, registers: int, similarity: float, width: int, block: int) -> DataFrame | None:
+    """The links between classes within buckets, found in cells; None if each bucket's members are of one class."""
+    own = members.join(store.small(named, rows=linked), "node", "left").select("node", "bucket", "size", F.coalesce("class", "node").alias("own"))
     own = store.table(own, "own")
-    sizes = own.groupBy("bucket", "own").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "own")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    parts = lambda n: F.ceil(n / block).cast("int")
-    mixed = store.table(mixed.select("bucket", F.col("m.own").alias("main"), parts(F.col("all")).alias("homes"), parts(F.col("all") - F.col("m.n")).alias("rooms")), "mixed")
-    if not mixed.limit(1).count():
+    classes_ = own.groupBy("bucket", "own").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    mixed = classes_.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "own", "bytes")).alias("m"), F.count("*").alias("k")).where("k > 1")
+    parts = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES)).cast("int")
+    mixed = mixed.select("bucket", F.col("m.own").alias("main"), parts(F.col("n"), F.col("bytes")).alias("homes"), parts(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("rooms"))
+    mixed, several = store.counted(store.fitted(mixed, held), "mixed")
+    if not several["n"]:
         return None
-    rows = own.join(store.small(mixed), "bucket").withColumn("apart", F.col("own") != F.col("main"))
-    rows = store.table(rows.join(low, "rep").drop("main"), "sides")
-    place = lambda seed, n: F.pmod(F.xxhash64("rep", "bucket", F.lit(seed)), F.col(n)).cast("int")
+    rows = own.join(store.small(mixed, rows=several["n"]), "bucket").withColumn("apart", F.col("own") != F.col("main"))
+    rows, sides = store.counted(store.fitted(rows.select("node", "bucket", "own", "apart", "homes", "rooms"), held), "sides", cells=F.sum(F.when(F.col("apart"), F.col("homes")).otherwise(0) + F.col("rooms")))
+    rows = rows.join(nodes.select("node", "low"), "node")
+    place = lambda seed, n: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    names = ("rep", "own", "low", "apart", "bucket")
+    names = ("node", "own", "low", "bucket")
     at_home = rows.select(*names, F.lit(False).alias("visits"), place(1, "homes").alias("home"), each("rooms").alias("room"))
     visitors = rows.where("apart").select(*names, F.lit(True).alias("visits"), place(2, "rooms").alias("room"), each("homes").alias("home"))
-    met = at_home.unionByName(visitors).groupBy("bucket", "home", "room").applyInArrow(_likeliest(registers, most), "a bigint, b bigint, more boolean")
-    return store.table(met.groupBy("a", "b").agg(F.max("more").alias("more")), "across")
+    flagged = at_home.unionByName(visitors).groupBy(CELL).applyInArrow(_flag(registers), FLAGGED)
+    flagged, likely = store.counted(store.fitted(flagged, 16 * sides["cells"]), "flagged")
+    if not likely["n"]:
+        return None
+    texts, _ = _texts(docs, nodes, flagged.select("node").distinct(), likely["n"])
+    cells = flagged.join(texts, "node").groupBy(CELL).applyInArrow(_join(similarity, width), "a bigint, b bigint")
+    return store.table(store.fitted(cells, 16 * likely["n"]), "across")
+
+
+# Links and classes
+
 
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """A stored table (node, text) of the wanted nodes, at most so many. Only their texts move."""
+    wanted = wanted.join(nodes.select("node", F.col("rep").alias("__rep"), F.col("content").alias("__content")), "node")
+    wanted, known = store.counted(store.fitted(wanted, most), "wanted")
+    rows = docs.select(F.col("doc_id").alias("rep"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("content", F.xxhash64("text"))
+    texts = rows.join(store.small(wanted, rows=known["n"]), (F.col("rep") == F.col("__rep")) & (F.col("content") == F.col("__content")))
+    # one of the rows that repeat an id and its text
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+    return store.table(store.fitted(texts, 16 * known["n"]), "texts"), known["n"]
 
-def components(links: DataFrame) -> DataFrame:
-    """links (a, b) to (node, class): the least node of its connected component.
 
-    Each round gives a node the least label of its neighbours, then its label's label;
-    rounds end when none changes. All state is in written tables."""
-    both = store.table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = store.table(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, count: int, similarity: float, width: int) -> DataFrame:
+    """Those of pairs (a, b) whose texts overlap enough."""
+    texts, _ = _texts(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * count)
+    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    return store.fitted(sides.where(overlap(width)("x", "y") >= similarity).select("a", "b"), 16 * count)
+
+
+def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """links (a, b), so many, to a stored table (node, class), and its rows: the least
+    node of its connected component.
+
+    Each round gives a node the least label of its own, its neighbours' and its label's
+    label; rounds end when none changes. All state is in written tables."""
+    both, _ = store.counted(store.fitted(links.select("a", "b").union(links.select("b", "a")).distinct(), 2 * count), "links")
+    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
+    labels, known = store.counted(store.fitted(labels, count), "labels")
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        lower = store.table(labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")), "lower")
-        of = lower.select(F.col("node").alias("at"), F.col("label").alias("jump"))
-        jumped = lower.join(of, F.col("label") == F.col("at"), "left")
-        labels = store.table(jumped.select("node", "was", F.least("label", "jump").alias("label")), "labels")
-        if not labels.where("label < was").limit(1).count():
-            return labels.select("node", F.col("label").alias("class"))
-        labels = labels.drop("was")
+        small = lambda names: store.small(labels.toDF(*names), rows=known["n"])
+        near = both.join(small(("b", "label")), "b").groupBy("a").agg(F.min("label").alias("near"))
+        lower = labels.join(near, F.col("node") == F.col("a"), "left").join(small(("at", "jump")), F.col("label") == F.col("at"), "left")
+        lower = lower.select("node", F.col("label").alias("was"), F.least("label", "near", "jump").alias("label"))
+        lower, moved = store.counted(store.fitted(lower, count), "labels", changed=F.count_if(F.col("label") < F.col("was")))
+        labels = lower.select("node", "label")
+        if not moved["changed"]:
+            return labels.withColumnRenamed("label", "class"), known["n"]
+
+
+def _stars(nodes: DataFrame, members: DataFrame, held: int, registers: int) -> tuple[DataFrame, int]:
+    """Pairs (a, b) of the members of each bucket with its two centres, whose signatures agree enough."""
+    company, several = store.counted(store.fitted(members.groupBy("node").agg(F.sum("n").alias("company")), held), "company")
+    ranked = members.join(store.small(company, rows=several["n"]), "node")
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("hub"), F.min(F.struct(F.xxhash64("node", "bucket"), "node")).alias("any"))
+    centres, elected = store.counted(store.fitted(centres.select("bucket", F.array("hub.node", "any.node").alias("centres")), held), "centres")
+    met = members.join(store.small(centres, rows=elected["n"]), "bucket").select("node", F.explode("centres").alias("centre")).where("node != centre")
+    pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    pairs, found = store.counted(store.fitted(pairs, 2 * held), "pairs")
+    side = lambda k, v: nodes.select(F.col("node").alias(k), F.col("low").alias(v))
+    likely = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(_agreement(registers)("x", "y") >= LIKELY).select("a", "b")
+    likely, left = store.counted(store.fitted(likely, 8 * found["n"]), "likely")
+    return likely, left["n"]
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -198,74 +287,54 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
 
     A text without words is a class of its own, also among others like it, and so is a
     row with a null id (class_id null); a text of under five words has one shingle.
-    Rows that repeat an id are in the classes of their texts."""
+    Rows that repeat an id are in the classes of their texts, also where these differ.
+    A text of any length is signed and verified whole."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    signed = store.table(docs.select("doc_id", F.xxhash64(text).alias("content"), text.alias("text")).mapInArrow(_sign(bands, rows, width), SIGNED), "signed")
-    # bands and registers are the same in all copies
-    keyed = signed.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-    reps = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "content")).alias("r"))
-    reps = store.table(reps.select("key", F.col("r.doc_id").alias("rep"), F.col("r.content").alias("content")), "reps")
-    same = signed.join(reps.select("key", "rep", F.col("content").alias("own")), "key")
-    nodes = store.table(same.where((F.col("doc_id") == F.col("rep")) & (F.col("content") == F.col("own"))).select("rep", "content", "bands", "low").dropDuplicates(["rep"]), "nodes")
-
-    finer = F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda k: F.xxhash64(F.get("bands", k - 1), F.get("bands", k % bands)))
-    members = store.table(nodes.select("rep", F.posexplode(F.concat("bands", finer)).alias("band", "bucket")), "members")
-    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = store.table(members.join(store.table(shared, "shared"), "bucket"), "members")
-    # what shares a finer bucket shares its bands too
-    whole, members = members.where(F.col("band") < bands).select("rep", "bucket"), members.select("rep", "bucket")
-
-    seen, named = None, None
-    for k in range(STARS):
-        centre = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(k)), "rep")).alias("c"))
-        centre = store.table(centre.select("bucket", F.col("c.rep").alias("centre")), "centres")
-        met = store.table(members.join(centre, "bucket").where("rep != centre"), "met")
-        pairs = met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        low = nodes.select("rep", "low")
-        likely = pairs.join(low.select(F.col("rep").alias("a"), F.col("low").alias("x")), "a").join(low.select(F.col("rep").alias("b"), F.col("low").alias("y")), "b")
-        likely = store.table(likely.where(_agreement(bands * rows)("x", "y") >= LIKELY).select("a", "b"), "likely")
-        found = store.table(_verified(docs, nodes, likely, similarity, width), "verified")
-        stars = found if named is None else found.union(named.where("node != class").toDF("a", "b"))
-        named = components(stars)
-        tried = pairs.select("a", "b")
-        seen = store.table(tried if seen is None else seen.union(tried), "seen")
-        # members that are not yet in their centre's class go on, where there are two at least
-        own, its = named.toDF("rep", "own"), named.toDF("centre", "its")
-        apart = met.join(own, "rep", "left").join(its, "centre", "left").where(F.coalesce("own", "rep") != F.coalesce("its", "centre"))
-        members = store.table(apart.select("rep", "bucket"), "left")
-        again = members.groupBy("bucket").count().where("count > 1").select("bucket")
-        members = store.table(members.join(store.table(again, "again"), "bucket"), "members")
-        if not members.limit(1).count():
-            break
-    low, most = nodes.select("rep", "low"), MOST
-    while True:
-        across = _across(whole, low, named, bands * rows, most, block)
-        if across is None:
-            break
-        likely = store.table(across.select("a", "b").join(seen, ["a", "b"], "left_anti"), "likely")
-        found = store.table(_verified(docs, nodes, likely, similarity, width), "verified")
-        if found.limit(1).count():
-            named = components(found.union(named.where("node != class").toDF("a", "b")))
-        if not across.where("more").limit(1).count():
-            break
-        seen = store.table(seen.union(likely), "seen")
-        most *= MORE
-    named = store.table(reps.join(named, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("copy_of"), F.coalesce("class", "rep").alias("class_id")), "named")
-    out = signed.select("doc_id", "content", "key").join(named, "key", "left")
-    alone = F.col("doc_id").isNull() | F.col("key").isNull()
-    return out.select("doc_id", "content", *(F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "copy_of")))
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """Those of pairs (a, b) whose texts overlap enough. Only texts of candidates move."""
-    wanted = store.table(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(nodes.select("rep", "content"), "rep"), "wanted")
-    rows = docs.select(F.col("doc_id").alias("rep"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = rows.withColumn("content", F.xxhash64("text")).join(store.small(wanted), ["rep", "content"], "left_semi").dropDuplicates(["rep"]).select("rep", "text")
-    texts = store.table(texts, "texts")
-    sides = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("rep").alias("b"), F.col("text").alias("y")), "b")
-    return sides.where(overlap(width)("x", "y") >= similarity).select("a", "b")
+    read = docs.select("doc_id", F.xxhash64(text).alias("content"), F.octet_length(text).cast("bigint").alias("size"), text.alias("text"))
+    signed, total = store.counted(read.mapInArrow(_sign(bands, rows, width), SIGNED), "signed")
+    alone = F.col("key").isNull() | F.col("doc_id").isNull()
+    # bands and registers are the same in all copies, so that copies meet before the shuffle
+    keyed = signed.where(~alone).groupBy("key").agg(F.min(F.struct("doc_id", "content")).alias("r"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
+    keyed = store.fitted(keyed, 8 * total["n"]).select(F.monotonically_increasing_id().alias("node"), "key", F.col("r.doc_id").alias("rep"), F.col("r.content").alias("content"), "n", "size", "bands", "low")
+    nodes, texts = store.counted(keyed, "nodes")
+
+    named = _named(docs, nodes, texts["n"], bands, rows, similarity, width, block)
+    named = named.select(F.col("key").alias("__key"), F.col("rep").alias("copy_of"), "class_id", "n")
+    out = signed.where(~alone).select("doc_id", "content", "key")
+    single = signed.where(alone).select("doc_id", "content", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"))
+    final, same = ("doc_id", "content", "class_id", "copy_of"), F.col("key") == F.col("__key")
+    if texts["n"] <= store.BROADCAST_ROWS:
+        return out.join(F.broadcast(named), same).select(*final).unionByName(single)
+    # copies that are many do not meet in one task
+    hot = F.broadcast(named.where(F.col("n") > max(HOT_ROWS, total["n"] // HOT_SHARE)))
+    rest = out.join(hot.select("__key"), same, "left_anti").join(named, same)
+    return out.join(hot, same).select(*final).unionByName(rest.select(*final)).unionByName(single)
+
+
+def _named(docs: DataFrame, nodes: DataFrame, count: int, bands: int, rows: int, similarity: float, width: int, block: int) -> DataFrame:
+    """nodes with their class_id."""
+    members = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    sizes, shared = store.counted(store.fitted(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), count * bands), "buckets")
+    alone = nodes.withColumn("class_id", F.col("rep"))
+    if not shared["n"]:
+        return alone
+    members, held = store.counted(store.fitted(members.join(store.small(sizes, rows=shared["n"]), "bucket"), count * bands), "members")
+    likely, pairs = _stars(nodes, members, held["n"], bands * rows)
+    stars, found = store.counted(_verified(docs, nodes, likely, pairs, similarity, width), "stars") if pairs else (likely, {"n": 0})
+    named, linked = components(stars, found["n"])
+    across = _across(docs, nodes, members, held["n"], named, linked, bands * rows, similarity, width, block)
+    if across is not None:
+        both, found = store.counted(across.union(named.where("node != class").toDF("a", "b")).distinct(), "both")
+        named, linked = components(both, found["n"])
+    least = named.join(nodes.select("node", "rep"), "node").groupBy("class").agg(F.min("rep").alias("class_id"))
+    least, several = store.counted(store.fitted(least, linked), "least")
+    named = named.join(store.small(least, rows=several["n"]), "class").select(F.col("node").alias("__node"), "class_id")
+    named, linked = store.counted(store.fitted(named, linked), "named")
+    return nodes.join(store.small(named, rows=linked["n"]), F.col("node") == F.col("__node"), "left").withColumn("class_id", F.coalesce("class_id", "rep")).drop("__node")
+
+
+def _same() -> Column:
+    return (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__content"))
 
 
 def keep(docs: DataFrame, **how) -> DataFrame:
@@ -273,11 +342,11 @@ def keep(docs: DataFrame, **how) -> DataFrame:
     that repeat that id with the same text, one. Rows with a null id stay."""
     found = store.table(classes(docs, **how).where("doc_id != class_id").select(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).distinct(), "dropped")
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    left = docs.withColumn("__own", content).join(store.small(found), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__content")), "left_anti")
+    left = docs.withColumn("__own", content).join(store.small(found), _same(), "left_anti")
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", content.alias("__content")).count().where("count > 1").select(F.col("doc_id").alias("__id"), "__content")
-    again = store.table(again, "again")
-    if not again.limit(1).count():
+    again, several = store.counted(again, "again")
+    if not several["n"]:
         return left.select(*docs.columns)
-    same = (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__content"))
-    single = left.join(store.small(again), same, "left_semi").dropDuplicates(["doc_id", "__own"])
-    return left.join(store.small(again), same, "left_anti").unionByName(single).select(*docs.columns)
+    again = store.small(again, rows=several["n"])
+    single = left.join(again, _same(), "left_semi").dropDuplicates(["doc_id", "__own"])
+    return left.join(again, _same(), "left_anti").unionByName(single).select(*docs.columns)

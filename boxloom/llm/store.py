@@ -5,18 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests, a
-    single machine) a temporary folder of this session."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a temporary folder
+    of this session on a local master, where all tasks see it; an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="boxloom-")
@@ -50,6 +53,23 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, dict[str, int]]:
+    """table(), and what was counted while it was written: its rows as `n`, and further aggregates."""
+    seen = Observation()
+    written = table(df.observe(seen, F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in more.items())), name)
+    return written, seen.get
+
+
+#: Narrow rows that are worth a task of their own.
+TASK_ROWS = 50_000
+
+
+def fitted(df: DataFrame, rows: int) -> DataFrame:
+    """df, which comes out of a shuffle, in as many tasks as that many rows are worth:
+    the many shuffle partitions of a large cluster would make each small step slow."""
+    return df.coalesce(max(1, min(partitions(df.sparkSession), -(-rows // TASK_ROWS))))
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Removes a folder that a written table no longer needs."""
     jvm = spark.sparkContext._jvm
@@ -63,11 +83,11 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
-    """df, a written table, marked for broadcast if its counted rows are within the
-    limit. Beyond it the join shuffles. Where rows hold texts or lists, `size` is the
-    bytes of one row, whose sum must be within BROADCAST_BYTES too."""
-    if df.limit(limit + 1).count() > limit:
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: Column | None = None, rows: int | None = None) -> DataFrame:
+    """df, a written table, marked for broadcast if its rows, counted here or before, are
+    within the limit. Beyond it the join shuffles. Where rows hold texts or lists, `size`
+    is the bytes of one row, whose sum must be within BROADCAST_BYTES too."""
+    if (df.limit(limit + 1).count() if rows is None else rows) > limit:
         return df
     if size is not None and (df.agg(F.sum(size)).first()[0] or 0) > BROADCAST_BYTES:
         return df

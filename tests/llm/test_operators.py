@@ -218,6 +218,33 @@ def test_near_duplicates_of_odd_rows(spark):
     assert neardup.keep(rows.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    one, two = words(60, 1), words(60, 2)
+    rows = docs(spark, [one, two, one + " end", two + " end", two], [1, 1, 2, 3, 4])
+    got = {(r.doc_id, r.content): r.class_id for r in neardup.classes(rows).collect()}
+    at = {r.text: r.c for r in rows.select("text", F.xxhash64("text").alias("c")).collect()}
+    assert got[(2, at[one + " end"])] == got[(1, at[one])] == 1 and got[(3, at[two + " end"])] == got[(4, at[two])] == got[(1, at[two])] == 1
+    links = neardup.classes(docs(spark, [one, two, two + " end"], [5, 5, 6])).collect()
+    assert {r.class_id for r in links} == {5} and len(links) == 3
+
+
+def test_near_duplicates_of_many_copies_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(neardup, "HOT_ROWS", 50)
+    texts = [words(40, 1)] * 80 + [words(40, 1) + " end", None, words(12, 3)] + [words(40, k) for k in range(5, 15)]
+    got = {r.doc_id: (r.class_id, r.copy_of) for r in neardup.classes(docs(spark, texts)).collect()}
+    assert len(got) == len(texts) and all(got[k] == (0, 0) for k in range(80)) and got[80] == (0, 80)
+    assert all(got[k] == (k, k) for k in range(81, len(texts)))
+
+
+def test_overlap_equals_multisets(spark):
+    texts = ["", "a b c", "a b c d e f a b c d e f", "a b c d e f", "x " * 50, "x " * 40, words(80), words(80) + " end"]
+    pairs = spark.createDataFrame([(x, y) for x in texts for y in texts], "x string, y string")
+    for r in pairs.withColumn("s", neardup.overlap()("x", "y")).collect():
+        a, b = multiset(r.x), multiset(r.y)
+        assert r.s == pytest.approx(sum((a & b).values()) / max(1, sum((a | b).values())))
+
+
 # Decontamination, quality, toxicity
 
 
