@@ -4,8 +4,8 @@
    multiset of its five-word shingles, and band hashes. Texts with equal keys are
    copies; each key is one node, represented by its least doc_id from here on.
 2. A band hash is a bucket. Each bucket elects two centres, one at random and one that
-   has the most company over all its buckets, such as the original of many copies. Each
-   member is a candidate pair with them: as many pairs as members, whatever the
+   has the most company over all its buckets, such as the original of many copies. Both
+   ranks are a member's own, so buckets of like members elect the same. Each member is a candidate pair with them: as many pairs as members, whatever the
    bucket's size. Pairs whose signatures agree enough are verified on the texts, and
    the classes so far are the connected components of the links.
 3. In buckets that still hold several classes, the members outside the largest class
@@ -270,7 +270,7 @@ def _stars(nodes: DataFrame, members: DataFrame, held: int, registers: int) -> t
     """Pairs (a, b) of the members of each bucket with its two centres, whose signatures agree enough."""
     company, several = store.counted(store.fitted(members.groupBy("node").agg(F.sum("n").alias("company")), held), "company")
     ranked = members.join(store.small(company, rows=several["n"]), "node")
-    centres = ranked.groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("hub"), F.min(F.struct(F.xxhash64("node", "bucket"), "node")).alias("any"))
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("hub"), F.min(F.struct(F.xxhash64("node"), "node")).alias("any"))
     centres, elected = store.counted(store.fitted(centres.select("bucket", F.array("hub.node", "any.node").alias("centres")), held), "centres")
     met = members.join(store.small(centres, rows=elected["n"]), "bucket").select("node", F.explode("centres").alias("centre")).where("node != centre")
     pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
