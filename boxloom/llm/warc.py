@@ -5,8 +5,10 @@ byte ranges. A task searches its range for the first place where gzip's magic
 bytes begin a member that decodes to WARC headers; from there it walks from member
 to member, and it owns every record that starts in its range, the last of which it
 reads past the range's end. So each record is read once, wherever the cuts fall.
-Stored (not deflated) data that hold a whole archive of their own could be taken
-for records if a range began within them; the writer always deflates.
+Headers may be of any length: what begins as a record is read on to its blank line,
+and fails the task if it has none or is damaged; it is never skipped. Stored (not
+deflated) data that hold a whole archive of their own could be taken for records if a
+range began within them; the writer always deflates.
 """
 
 from __future__ import annotations
@@ -23,16 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import store
-from .codec import slices
+from .wordhash import runs
 
 #: A shorter payload is never replaced by a revisit.
 LEAST_REVISIT = 1000
 MAGIC = b"\x1f\x8b\x08"
+VERSION = b"WARC/"
 BLOCK = 1 << 20
 #: Bytes given to the decoder at once.
 CHUNK = 1 << 16
-#: Bytes of one record's headers at most.
-HEADERS = 1 << 16
 
 
 def _record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -58,21 +59,27 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     is a response too, and so are all rows of a payload whose keys are all null. A
     null body is an empty payload, and a null or broken url has no target header.
     Each input partition makes one archive; archives that are not in the returned
-    table (a task that ran twice) do not count. Only digests are shuffled, unless
-    repeated payloads are so many that the join needs a shuffle."""
+    table (a task that ran twice) do not count. Digests and keys are shuffled; payloads
+    only where repeated payloads are so many that their table cannot be broadcast, and
+    then by key and digest, so that a common payload is not one task's."""
     rows = pages.select(F.col(key).cast("bigint").alias("page"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(body).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    targets = rows.where(F.octet_length("payload") >= LEAST_REVISIT).groupBy("digest").agg(F.max("page").alias("target"), F.count("*").alias("n"))
-    targets = store.small(store.table(targets.where("n > 1").select(F.col("digest").alias("same"), "target"), "targets"))
-    # no payload's digest is equal to a shorter one's, so the join needs no length
-    rows = rows.join(targets, F.col("digest") == F.col("same"), "left").select(
-        "page", "url", "payload", "digest", F.when(~F.col("target").eqNullSafe(F.col("page")), F.col("target")).alias("refers_to")
-    )
+    # no payload's digest is equal to a shorter one's, so the joins need no length
+    narrow = rows.where(F.octet_length("payload") >= LEAST_REVISIT).select("page", "digest")
+    targets = narrow.groupBy("digest").agg(F.max("page").alias("target"), F.count("*").alias("n")).where("n > 1")
+    targets, several = store.counted(targets.select(F.col("digest").alias("same"), "target"), "targets")
+    own = ~F.col("target").eqNullSafe(F.col("page"))
+    if several["n"] <= store.BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(targets), F.col("digest") == F.col("same"), "left").withColumn("refers_to", F.when(own, F.col("target")))
+    else:
+        revisits = narrow.join(targets, F.col("digest") == F.col("same")).where(own).select(F.col("page").alias("by"), "same", F.col("target").alias("refers_to")).distinct()
+        rows = rows.join(revisits, F.col("page").eqNullSafe(F.col("by")) & (F.col("digest") == F.col("same")), "left")
+    rows = rows.select("page", "url", "payload", "digest", "refers_to")
 
     def put(batches):
         sink, count, name = None, 0, ""
         for batch in batches:
-            for part in slices(batch):
+            for part in runs(batch, "payload"):
                 if sink is None:
                     fs, path = store.open_fs(folder)
                     name = f"{uuid.uuid4().hex}.warc.gz"
@@ -90,14 +97,14 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     return store.table(rows.mapInArrow(put, "path string, size bigint, records bigint"), "archives")
 
 
-def _header(data: bytes) -> tuple[dict[str, str], int] | None:
+def _header(data: bytes, at: int) -> tuple[dict[str, str], int]:
     """A record's headers, by lower-case name, and where its block starts."""
-    end = data.find(b"\r\n\r\n", 0, HEADERS)
-    if not data.startswith(b"WARC/") or end < 0:
-        return None
-    lines = data[:end].decode("utf-8", "replace").split("\r\n")[1:]
+    end = data.find(b"\r\n\r\n")
+    lines = data[: max(end, 0)].decode("utf-8", "replace").split("\r\n")[1:]
     found = {k.strip().lower(): v.strip() for k, colon, v in (x.partition(":") for x in lines) if colon}
-    return (found, end + 4) if "warc-type" in found and found.get("content-length", "").isdigit() else None
+    if "warc-type" not in found or not found.get("content-length", "").isdigit():
+        raise ValueError(f"the WARC record at byte {at} has no whole headers")
+    return found, end + 4
 
 
 class _Window:
@@ -126,21 +133,30 @@ class _Window:
 
 
 def _member(window: _Window, at: int, whole: bool) -> tuple[bytes, int] | None:
-    """The data of the member at `at` and where it ends; None if there is none. Not
-    whole: as much as the headers need, and no end."""
-    decoder, parts, got, offset = zlib.decompressobj(31), [], 0, at
+    """The data of the record's member at `at` and where it ends; None if no gzip member
+    is there, or none that begins as a record does. Not whole: as much as the headers
+    need, however long they are, and no end."""
+    decoder, data, raw, offset = zlib.decompressobj(31), bytearray(), b"", at
     while not decoder.eof:
-        raw = window.need(offset, CHUNK if whole else 1 << 14)
         if not raw:
-            return None
+            raw = window.need(offset, CHUNK if whole else 1 << 14)
+            offset += len(raw)
+        if not raw:
+            break
         try:
-            parts.append(decoder.decompress(raw) if whole else decoder.decompress(raw, HEADERS - got))
+            data += decoder.decompress(raw, CHUNK)
         except zlib.error:
+            break
+        raw = decoder.unconsumed_tail
+        if len(data) >= len(VERSION) and not data.startswith(VERSION):
             return None
-        got, offset = got + len(parts[-1]), offset + len(raw)
-        if not whole and (got >= HEADERS or b"\r\n\r\n" in b"".join(parts)):
-            return b"".join(parts), -1
-    return b"".join(parts), offset - len(decoder.unused_data)
+        if not whole and b"\r\n\r\n" in memoryview(data)[-CHUNK - 3 :].tobytes():
+            return bytes(data), -1
+    if not data.startswith(VERSION):
+        return None
+    if not decoder.eof:
+        raise ValueError(f"the WARC record at byte {at} is damaged")
+    return bytes(data), offset - len(decoder.unused_data)
 
 
 def scan_range(file, size: int, start: int, end: int):
@@ -156,15 +172,15 @@ def scan_range(file, size: int, start: int, end: int):
         if at >= end:
             return
         head = _member(window, at, False)
-        if head and _header(head[0]):
+        if head:
+            _header(head[0], at)
             break
         at += 1
     while at < end:
         member = _member(window, at, True)
-        head = member and _header(member[0])
-        if not head:
+        if not member:
             raise ValueError(f"no WARC record at byte {at}")
-        fields, body = head
+        fields, body = _header(member[0], at)
         yield at, fields, member[0][body : body + int(fields["content-length"])]
         at = member[1]
 
