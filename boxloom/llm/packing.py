@@ -1,13 +1,12 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
-Hierarchical residual packing: pieces are dealt by hash to groups of some tens of
-thousands; each group packs its own by best fit, largest first. Bins filled to
-within `slack` of the capacity are final. The others go up a tree as items of
-their own size: each node takes the open bins of `fan_in` children and packs them
-by best fit again, until the root, where every bin is final. A group leaves at most
-one bin that is half full or less, since two such would have been one, and an open
-bin is passed on only if its room could take the smallest open bin, so what a node
-holds is bounded by its children and not by the input.
+Hierarchical residual packing: pieces are dealt by hash to nodes of some tens of
+thousands; each node packs its own by best fit, largest first. Bins filled to within
+`slack` of the capacity are final. The others go up a tree as items of their own size:
+each level deals them to as many nodes as hold them at that size and packs them by best
+fit again, until one node has all. An open bin is passed on if its room could take the
+smallest open bin; no other is left behind, however many they are. A level that merges
+under one in STALL of its items is the last: what is left does not fit together.
 """
 
 from __future__ import annotations
@@ -21,15 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import store
-from .codec import codec, default_path, slices
+from .codec import codec, default_path, spans
 from .tokenfiles import END_ID
+from .wordhash import runs
 
 CAPACITY = 4096
 SLACK = 32
 GROUP = 32_768
-FAN_IN = 16
-#: Open bins over half full that a node passes on at most, those with the most room first; the rest are final as they are.
-PASSED = 4096
+STALL = 1000
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,23 +63,23 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     the capacity into pieces of it, the last as long as it comes. start counts the
     document's ids before the piece. uid tells rows apart, for a stored result."""
     tokenizer = tokenizer or default_path()
+    names, kinds = [x.split()[0] for x in PIECES.split(", ")], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
 
     def cut(batches):
         from pyspark import TaskContext
 
         coder, uid = codec(tokenizer), TaskContext.get().partitionId() << 40
-        end = np.array([end_id], coder.dtype).tobytes()
         for batch in batches:
-            for rows in slices(batch):
-                out = []
-                for doc, raw in zip(rows.column("doc_id").to_pylist(), coder.encode(rows.column("text").to_pylist())):
-                    ids = np.frombuffer(raw + end, coder.dtype).astype("<u4")
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        own = ids[start : start + capacity]
-                        out.append((doc, piece, start, len(own), zlib.crc32(own), uid))
-                        uid += 1
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
+            for rows in runs(batch):
+                ids, ends = coder.ended(rows.column("text"), end_id)
+                counts = -(-np.diff(ends) // capacity)
+                doc, piece = np.repeat(np.arange(rows.num_rows), counts), spans(np.zeros(len(counts), np.int64), counts)
+                begin = ends[doc] + piece * capacity
+                stop = np.minimum(begin + capacity, ends[doc + 1])
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip(begin.tolist(), stop.tolist())]
+                made = (piece, begin - ends[doc], stop - begin, sums, np.arange(uid, uid + len(doc)))
+                uid += len(doc)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(doc)).cast(kinds[0]), *(pa.array(x, kind) for x, kind in zip(made, kinds[1:]))], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
@@ -93,35 +91,31 @@ def _pack_node(level: int, capacity: int, slack: int, last: bool):
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["size", "item"], ascending=[False, True])  # the same bins in every attempt
         bins, offsets, fills = best_fit(frame["size"].to_numpy(), capacity)
-        room = capacity - fills
-        opened = (room > slack) & (not last)
-        large = np.flatnonzero(opened & (2 * fills > capacity))
-        if len(large) > PASSED:
-            opened[large[np.argsort(-room[large], kind="stable")[PASSED:]]] = False
+        opened = (capacity - fills > slack) & (not last)
         names = (level << 56) + (int(key[0]) << 28) + bins
         return pd.DataFrame({"item": frame["item"].to_numpy(), "bin": names, "offset": offsets, "fill": fills[bins], "open": opened[bins]})
 
     return pack
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group: int = GROUP, fan_in: int = FAN_IN) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group: int = GROUP) -> DataFrame:
     """items (uid, length: 1 to capacity) to (uid, sequence_id, offset)."""
-    nodes = max(1, -(-items.count() // group))
-    level, steps = 0, []
-    todo = items.select(F.col("uid").alias("item"), F.col("length").alias("size"), F.pmod(F.xxhash64("uid"), F.lit(nodes)).alias("node"))
+    todo, count, level, steps = items.select(F.col("uid").alias("item"), F.col("length").alias("size")), items.count(), 0, []
     while True:
-        step = store.table(todo.groupBy("node").applyInPandas(_pack_node(level, capacity, slack, nodes == 1), STEP), f"bins{level}")
+        nodes = max(1, -(-count // group))
+        dealt = todo.withColumn("node", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(nodes)))
+        step = store.table(dealt.groupBy("node").applyInPandas(_pack_node(level, capacity, slack, nodes == 1), STEP), f"bins{level}")
         steps.append(step)
         if nodes == 1:
             break
-        nodes, level = -(-nodes // fan_in), level + 1
-        carried = step.where("open").groupBy("bin").agg(F.first("fill").alias("size"))
+        carried = store.table(step.where("open").groupBy("bin").agg(F.first("fill").alias("size")), "open")
         least = carried.agg(F.min("size")).first()[0]
         if least is None:
             break
-        todo = carried.where(F.lit(capacity) - F.col("size") >= least).select(
-            F.col("bin").alias("item"), "size", F.floor(F.shiftright(F.col("bin").bitwiseAND((1 << 56) - 1), 28) / fan_in).alias("node")
-        )
+        todo, seen = store.counted(carried.where(F.lit(capacity) - F.col("size") >= least).select(F.col("bin").alias("item"), "size"), "carried")
+        if not seen["n"] or (level and seen["n"] > count * (1 - 1 / STALL)):
+            break
+        count, level = seen["n"], level + 1
     moved = None  # of bins that went up: where they ended
     for step in steps[:0:-1]:
         own = step.select(F.col("item").alias("was"), "bin", "offset")
