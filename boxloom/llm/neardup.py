@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import store
 from .bagminhash import signatures
-from .codec import release
+from .codec import release, spans
 from .wordhash import hash_words, mix, runs, shingles
 
 SIMILARITY = 0.8
@@ -71,18 +71,12 @@ def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return number, np.searchsorted(np.repeat(owner, weight), np.arange(len(texts) + 1))
 
 
-def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places start, start + 1, ... of each span, one after another."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 def _jaccards(elements: np.ndarray, offsets: np.ndarray, flags: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
     """The overlap of set `one` with each of the others. flags: all false, and again at the end."""
     own = elements[offsets[one] : offsets[one + 1]]
     lengths = offsets[others + 1] - offsets[others]
     flags[own] = True
-    hits = np.concatenate([[0], np.cumsum(flags[elements[_spans(offsets[others], lengths)]])])
+    hits = np.concatenate([[0], np.cumsum(flags[elements[spans(offsets[others], lengths)]])])
     flags[own] = False
     ends = np.cumsum(lengths)
     common = hits[ends] - hits[ends - lengths]

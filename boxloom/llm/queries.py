@@ -46,8 +46,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "lang", "source", "n_chars", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), F.col("shard").endswith(".parquet").alias("sharded"))
 
 
+#: Bytes of a part of the token files; the tables here are small.
+PART_BYTES = 32 << 20
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenfiles.round_trip(_table(spark, sf_dir, "documents"))
+    return tokenfiles.round_trip(_table(spark, sf_dir, "documents"), part_bytes=PART_BYTES)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,52 +21,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
-from .codec import codec, default_path, slices
+from .codec import codec, default_path
+from .wordhash import runs
 
 END_ID = 1
+#: Bytes of text and index of a part, and those that the index has for a document.
+PART_BYTES, INDEX_BYTES = 256 << 20, 24
 SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):
     def write(batches):
         coder, sink, part = codec(tokenizer), None, ""
-        ids, nulls, ends, total = [], [], [0], 0
-        end = np.array([end_id], coder.dtype).tobytes()
+        ids, nulls, ends, total, count = [], [], [np.zeros(1, np.int64)], 0, 0
         for batch in batches:
-            for rows in slices(batch):
+            for rows in runs(batch):
                 if sink is None:
                     part = f"part-{uuid.uuid4().hex}"
                     fs, path = store.open_fs(folder)
                     sink = fs.open_output_stream(f"{path}/{part}.bin")
                 keys = rows.column("doc_id")
-                for raw in coder.encode(rows.column("text").to_pylist()):
-                    sink.write(raw + end)
-                    total += len(raw) // coder.dtype.itemsize + 1
-                    ends.append(total)
+                own, cuts = coder.ended(rows.column("text"), end_id)
+                sink.write(own.astype(coder.dtype))
+                ends.append(cuts[1:] + total)
+                total, count = total + len(own), count + rows.num_rows
                 ids.append(keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
                 nulls.append(keys.is_null().to_numpy(zero_copy_only=False).astype("<i8"))
         if sink is None:
             return
         sink.close()
-        index = np.concatenate([[len(ends) - 1], *ids, ends, *nulls]).astype("<i8")
         with fs.open_output_stream(f"{path}/{part}.idx") as f:
-            f.write(index.tobytes())
+            f.write(np.concatenate([[count], *ids, *ends, *nulls]).astype("<i8"))
         from pyspark import TaskContext
 
-        yield pa.RecordBatch.from_pydict({"place": [TaskContext.get().partitionId()], "part": [part], "docs": [len(ends) - 1], "tokens": [total]})
+        yield pa.RecordBatch.from_pydict({"place": [TaskContext.get().partitionId()], "part": [part], "docs": [count], "tokens": [total]})
 
     return write
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, parts: int | None = None) -> dict:
+def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, part_bytes: int = PART_BYTES) -> dict:
     """Writes the token files of docs (doc_id, text) and returns their manifest.
 
-    One shuffle, by ranges of doc_id, so that the parts' order is the ids' order;
-    null ids come first. Rows with equal ids keep to one part, in any order. The
-    driver gets one row for each part. An empty table gives a manifest without parts."""
-    spark = docs.sparkSession
+    One shuffle, by ranges of doc_id and a hash of the text, so that the parts' order is
+    the ids' order; null ids come first, and rows with equal ids may span parts, in the
+    order of that hash. A part holds about part_bytes of text and index, so tasks stay
+    as large whatever the input; a longer text is a part of its own. The driver gets one
+    row for each part. An empty table gives a manifest without parts."""
     tokenizer = tokenizer or default_path()
-    spread = docs.select("doc_id", "text").repartitionByRange(parts or store.partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("__order"))
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + INDEX_BYTES).alias("n")).first()["n"] or 0
+    spread = rows.repartitionByRange(max(1, -(-size // part_bytes)), "doc_id", "__order").sortWithinPartitions("doc_id", "__order").select("doc_id", "text")
     fs, path = store.open_fs(folder)
     fs.create_dir(path, recursive=True)
     written = spread.mapInArrow(_writer(folder, tokenizer, end_id), "place bigint, part string, docs bigint, tokens bigint").collect()
@@ -82,13 +86,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
 
 
 def open_part(folder: str, part: dict, dtype: str):
-    """(doc ids with None for null, offsets, file): local files are memory-mapped."""
+    """(doc ids as an Arrow array, offsets, file): local files are memory-mapped."""
     from pyarrow.fs import LocalFileSystem
 
     fs, path = store.open_fs(folder)
     index = np.frombuffer(fs.open_input_file(f"{path}/{part['part']}.idx").read(), "<i8")
     n = int(index[0])
-    ids = [None if null else i for i, null in zip(index[1 : n + 1].tolist(), index[2 * n + 2 :].tolist())]
+    ids = pa.array(index[1 : n + 1], mask=index[2 * n + 2 :].astype(bool))
     name = f"{path}/{part['part']}.bin"
     return ids, index[n + 1 : 2 * n + 2], pa.memory_map(name) if isinstance(fs, LocalFileSystem) else fs.open_input_file(name)
 
@@ -96,7 +100,7 @@ def open_part(folder: str, part: dict, dtype: str):
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the data set: doc_id, start (ids before it in all parts),
     n_tokens and the CRC-32 of its ids as little-endian 32-bit integers. One task
-    reads one part, document by document."""
+    reads one part, of bounded size, some documents at a time."""
     fs, path = store.open_fs(folder)
     manifest = json.loads(fs.open_input_file(f"{path}/manifest.json").read())
     parts, dtype = manifest["parts"], manifest["dtype"]
@@ -112,16 +116,14 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ends = offsets[at : at + 4097]
                     data.seek(int(ends[0]) * width)
                     sums = [zlib.crc32(np.frombuffer(data.read_buffer(n * width), dtype).astype("<u4")) for n in np.diff(ends).tolist()]
-                    yield pa.RecordBatch.from_pydict(
-                        {"doc_id": pa.array(ids[at : at + 4096], pa.int64()), "start": ends[:-1] + parts[k]["base"], "n_tokens": np.diff(ends), "ids_crc32": pa.array(sums, pa.int64())}
-                    )
+                    yield pa.RecordBatch.from_arrays([ids.slice(at, 4096), pa.array(ends[:-1] + parts[k]["base"]), pa.array(np.diff(ends)), pa.array(sums, pa.int64())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return spark.range(0, len(parts), 1, len(parts)).mapInArrow(scan, SCHEMA)
 
 
-def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """Writes docs as token files in the shared folder and reads them back."""
     spark = docs.sparkSession
     folder = store.fresh_dir(spark, "tokens")
-    write(docs, folder, tokenizer)
+    write(docs, folder, tokenizer, part_bytes=part_bytes)
     return read(spark, folder)

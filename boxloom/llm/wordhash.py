@@ -61,32 +61,42 @@ def _hash_bytes(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nda
     return mix((sums[ends] - sums[starts]) * down[starts]), starts
 
 
-def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets): text k has the words hashes[offsets[k]:offsets[k + 1]], and
-    none if it is null."""
-    low = pc.utf8_lower(texts.cast(pa.large_string()))
-    low = pa.concat_arrays([low]) if low.offset else low
-    ends = np.frombuffer(low.buffers()[1], np.int64, len(low) + 1)
-    data = low.buffers()[2]
+def windows(texts: pa.Array, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(raw, ends, cuts): the texts' bytes, the place of the first of each and of the
+    end, and windows of about STEP bytes that end with a text or at a gap byte."""
+    texts = texts.cast(pa.large_string())
+    texts = pa.concat_arrays([texts]) if texts.offset else texts
+    ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1) if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    hashes, starts, at = [], [], int(ends[0])
+    cuts, at = [], int(ends[0])
     while at < ends[-1]:
         to = min(at + STEP, int(ends[-1]))
-        if to < ends[-1]:  # back to the start of a text, or else to white space
+        if to < ends[-1]:  # back to the start of a text, or else on to a gap
             k = int(np.searchsorted(ends, to, "right")) - 1
             if ends[k] > at:
                 to = int(ends[k])
             else:
                 stop = int(ends[k + 1])
-                while to < stop and not (gaps := np.flatnonzero(_SPACE[raw[to : min(stop, to + STEP)]])).size:
+                while to < stop and not (gaps := np.flatnonzero(gap[raw[to : min(stop, to + STEP)]])).size:
                     to = min(stop, to + STEP)
                 to = to + int(gaps[0]) if to < stop else stop
+        cuts.append((at, to))
+        at = to
+    return raw, ends, cuts
+
+
+def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): text k has the words hashes[offsets[k]:offsets[k + 1]], and
+    none if it is null."""
+    raw, ends, cuts = windows(pc.utf8_lower(texts.cast(pa.large_string())))
+    hashes, starts = [], []
+    for at, to in cuts:
         own, places = _hash_bytes(raw[at:to], ends[(ends > at) & (ends < to)] - at)
         hashes.append(own)
         starts.append(places + at)
-        at = to
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(low) + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), ends)
 
 
