@@ -25,8 +25,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
-    return urls.judge(pages, urls.repeated_urls(pages))
+    return urls.judge(_table(spark, sf_dir, "pages"), urls.listed_urls(spark))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +41,10 @@ SHARD_BYTES = 32 << 20
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = shards.shard_documents(_table(spark, sf_dir, "documents"), store.fresh_dir(spark, "shards"), SHARD_BYTES)
-    return rows.select("doc_id", "lang", "source", "n_chars", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), F.col("shard").endswith(".parquet").alias("sharded"))
+    """Each document as it is read back from the last version, with what holds of all shards."""
+    rows, state = shards.shard_documents(_table(spark, sf_dir, "documents"), store.fresh_dir(spark, "shards"), SHARD_BYTES)
+    facts = {k: F.lit(state[k]) for k in ("rows_before", "arrivals_left", "unnamed", "surplus_shards")}
+    return rows.select("doc_id", "lang", "source", "n_chars", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), *(c.cast("bigint").alias(k) for k, c in facts.items()), F.lit(state["versions"] > 1).alias("committed"))
 
 
 #: Bytes of a part of the token files; the tables here are small.
@@ -79,6 +80,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {
-    "op6_sharding": "SELECT doc_id, lang, source, n_chars, md5(coalesce(text, '')) AS text_md5, true AS sharded FROM documents",
+    "op3_url_filters": urls.ORACLE,
+    "op6_sharding": "SELECT doc_id, lang, source, n_chars, md5(coalesce(text, '')) AS text_md5, (SELECT count(*) FROM documents) AS rows_before, 0::BIGINT AS arrivals_left, 0::BIGINT AS unnamed, 0::BIGINT AS surplus_shards, (SELECT count(*) FROM documents) > 1 AS committed FROM documents",
     "op10_quality_rules": quality.ORACLE,
 }

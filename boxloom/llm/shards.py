@@ -7,7 +7,8 @@ shards of a tier that has at least FAN of them, or all small ones when told so,
 files near the target. A version is committed by creating its manifest file, which
 fails if the version exists; shards that no manifest names (a task that ran twice, a
 writer that lost) do not count, and readers of an older version keep their files
-until vacuum().
+until vacuum(). An arrival is a number of small shards that grows with it, so tiers and
+merges work alike at every size.
 
 A merge reads its shards with fewer tasks and writes one file for each: no shuffle.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,10 @@ from pyspark.sql import functions as F
 
 TARGET_BYTES = 128 << 20
 TIER_BASE, FAN = 4, 4
+#: Shards of an arrival for each target size of text in it, and at least, rows permitting.
+ARRIVAL_SHARDS = 8
+#: A shard that no manifest names may be of a writer at work for so long.
+GRACE_SECONDS = 3600
 
 
 class Conflict(Exception):
@@ -74,28 +80,33 @@ class ShardStore:
     def _files(self, folder: str) -> list[dict]:
         return [{"path": s.getPath().toString(), "bytes": s.getLen()} for s in self._fs.listStatus(self._paths(folder)) if s.getPath().getName().endswith(".parquet")]
 
-    def _write(self, rows: DataFrame) -> list[dict]:
+    def _write(self, rows: DataFrame, shard_rows: int = 0) -> list[dict]:
         folder = f"{self.folder}/shards/{uuid.uuid4().hex}"
-        rows.write.parquet(folder)
+        rows.write.option("maxRecordsPerFile", shard_rows).parquet(folder)
         return self._files(folder)
 
     # Versions
 
-    def append(self, rows: DataFrame) -> dict:
-        """Commits a version with the rows added, a shard for each of their partitions."""
+    def append(self, rows: DataFrame, shard_rows: int = 0) -> dict:
+        """Commits a version with the rows added, in shards of at most shard_rows, or if
+        that is 0 one for each of their partitions."""
         before = self.manifest()
-        return self._commit(before, rows.schema.json(), before["shards"] + self._write(rows))
+        return self._commit(before, rows.schema.json(), before["shards"] + self._write(rows, shard_rows))
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, with its shard's path in `shard`."""
+        """The rows of a version, with its shard's path in `shard`, or in _shard, __shard,
+        ... if the rows have that column themselves."""
         from pyspark.sql.types import StructType
 
         manifest = self.manifest(version)
         schema = StructType.fromJson(json.loads(manifest["schema"]))
+        name = "shard"
+        while name.lower() in (c.lower() for c in schema.names):
+            name = "_" + name
         if not manifest["shards"]:
-            return self.spark.createDataFrame([], schema).withColumn("shard", F.lit(""))
+            return self.spark.createDataFrame([], schema).withColumn(name, F.lit(""))
         rows = self.spark.read.schema(schema).parquet(*(s["path"] for s in manifest["shards"]))
-        return rows.withColumn("shard", F.col("_metadata.file_path"))
+        return rows.withColumn(name, F.col("_metadata.file_path"))
 
     @staticmethod
     def plan(shards: list[dict], target: int, base: int = TIER_BASE, fan: int = FAN, everything: bool = False) -> list[list[dict]]:
@@ -132,25 +143,49 @@ class ShardStore:
                 break
         return self._commit(before, before["schema"], shards) if passes else before
 
-    def vacuum(self) -> int:
-        """Removes the manifests before the last version and the shards that only they
-        name; returns how many shards. Not for use beside readers of those versions."""
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Removes the manifests before the last version and all shards that it does not
+        name: those of older versions, and those that no manifest names and that are older
+        than the grace period, left by failed writers or merged away within one
+        compact(). Returns how many shards. Not for use beside readers of older versions."""
         found = self.versions()
         kept = {s["path"] for s in self.manifest()["shards"]}
         old = {s["path"] for v in found[:-1] for s in self.manifest(v)["shards"]} - kept
+        late = int((time.time() - grace_seconds) * 1000)
+        old |= {path for path, changed in self._stored() if path not in kept and changed <= late}
         for path in old:
             self._fs.delete(self._paths(path), False)
         for version in found[:-1]:
             self._fs.delete(self._paths(f"{self.folder}/manifests/v{version:08d}.json"), False)
         return len(old)
 
-
-def shard_documents(docs: DataFrame, folder: str, target: int = TARGET_BYTES) -> DataFrame:
-    """docs arrives in a store below folder, is compacted and read back, with
-    each row's shard."""
+    def _stored(self) -> list[tuple[str, int]]:
+        """(path, time of change in ms) of every shard file, named or not."""
+        where = self._paths(f"{self.folder}/shards")
+        listed, found = self._fs.listFiles(where, True) if self._fs.exists(where) else None, []
+        while listed is not None and listed.hasNext():
+            status = listed.next()
+            if status.getPath().getName().endswith(".parquet"):
+                found.append((status.getPath().toString(), status.getModificationTime()))
+        return found
+
+
+def shard_documents(docs: DataFrame, folder: str, target: int = TARGET_BYTES, text: str = "text") -> tuple[DataFrame, dict]:
+    """docs arrives in a store below folder as small shards, is compacted, and read back
+    with each row's shard. Also what holds then: versions committed, rows_before in the
+    version before the compaction, arrivals_left (shards of the arrival still named),
+    unnamed (files beside the named shards) and surplus_shards, more than twice as many
+    as the target asks for."""
     store = ShardStore(docs.sparkSession, folder)
-    store.append(docs)
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    share = max(ARRIVAL_SHARDS, (size["bytes"] or 0) * ARRIVAL_SHARDS // target)
+    arrived = store.append(docs, max(1, size["n"] // share))
+    rows_before = store.read(arrived["version"]).count()
     store.compact(target)
     final = store.compact(target, everything=True)
-    store.vacuum()
-    return store.read(final["version"])
+    versions = len(store.versions())
+    store.vacuum(0)
+    named, first = {s["path"] for s in final["shards"]}, {s["path"] for s in arrived["shards"]}
+    least = 2 * max(1, math.ceil(sum(s["bytes"] for s in final["shards"]) / target))
+    state = {"versions": versions, "rows_before": rows_before, "arrivals_left": len(named & first) if len(first) > 1 else 0, "unnamed": len({p for p, _ in store._stored()} - named), "surplus_shards": max(0, len(named) - least)}
+    return store.read(final["version"]), state

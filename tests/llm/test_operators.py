@@ -106,6 +106,39 @@ def test_url_rules_and_list(spark):
     assert urls.judge(pages.limit(0), listed).count() == 0 and urls.judge(pages, listed.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_listed_urls_by_broadcast_and_by_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(store, "BROADCAST_ROWS", limit)
+    rows = [(k, f"http://a.com/{k % 50}" if k % 3 else None) for k in range(300)] + [(500, "http://a.com/" + "x" * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    listed = spark.createDataFrame([(f"a.com/{k}",) for k in range(0, 50, 7)] + [("a.com/" + "x" * 100_000,)], "canonical string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, listed, ()).collect()}
+    assert got == {k: "block" if u and (len(u) > 100 or int(u.split("/")[-1]) % 7 == 0) else "allow" for k, u in rows}
+
+
+def test_of_equally_long_rules_the_first_wins(spark):
+    pages = spark.createDataFrame([("http://x.a.com/b/c",)], "url string").withColumn("page_id", F.lit(1))
+    rules = (("a.com", "/b", "block"), ("x.a.com", "", "allow"), ("a.com", "/b", "allow"))
+    none = spark.createDataFrame([], "canonical string")
+    for own, want in ((rules, ("a.com/b", "block")), (rules[1:], ("x.a.com", "allow")), (rules[::-1], ("a.com/b", "allow"))):
+        assert [(r.rule, r.verdict) for r in urls.judge(pages, none, own).collect()] == [want]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+    import pandas as pd
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want, got = con.sql(queries.ORACLES[name]).df(), queries.QUERIES[name](spark, sf).toPandas()
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    got, want = (x[cols].sort_values(cols).reset_index(drop=True).astype(str) for x in (got, want))
+    pd.testing.assert_frame_equal(got, want)
+
+
 def test_bloom_filter_has_no_false_negatives_and_few_positives(spark):
     listed = spark.range(2000).select(F.concat(F.lit("h/"), F.col("id").cast("string")).alias("k"))
     rows = spark.range(1000, 6000).select(F.concat(F.lit("h/"), F.col("id").cast("string")).alias("k"))
@@ -440,7 +473,28 @@ def test_shards_compact_and_keep_versions(spark):
     assert s.compact(1 << 20) == after
     with pytest.raises(shards.Conflict):
         s._commit(before, before["schema"], before["shards"])
-    assert s.vacuum() == 5 and s.read().where("doc_id IS NULL").count() == 5 and s.versions() == [after["version"]]
+    assert s.vacuum(0) == 5 and s.read().where("doc_id IS NULL").count() == 5 and s.versions() == [after["version"]]
+
+
+def test_shards_keep_a_column_of_their_name_and_long_texts(spark):
+    s = shards.ShardStore(spark, store.fresh_dir(spark, "test"))
+    s.append(spark.createDataFrame([("a", "x" * 2_000_000), ("b", None)], "shard string, text string"))
+    got = {r.shard: (r.text, r._shard) for r in s.read().collect()}
+    assert got["a"][0] == "x" * 2_000_000 and got["b"][0] is None and got["a"][1].endswith(".parquet")
+
+
+def test_arrivals_are_merged_and_swept(spark):
+    folder = store.fresh_dir(spark, "test")
+    rows, state = shards.shard_documents(docs(spark, [words(50, k) for k in range(400)]).repartition(3), folder, 8000)
+    assert rows.count() == 400 and state["versions"] > 1 and state["rows_before"] == 400
+    assert not state["arrivals_left"] and not state["unnamed"] and not state["surplus_shards"]
+    left = rows.select("shard").distinct().count()
+    assert left < 40 and shards.ShardStore(spark, folder).vacuum() == 0
+    none, state = shards.shard_documents(docs(spark, []), store.fresh_dir(spark, "test"))
+    assert none.count() == 0 and state["rows_before"] == 0
+    s = shards.ShardStore(spark, folder)
+    s._write(docs(spark, ["stray"]))
+    assert s.vacuum(3600) == 0 and s.vacuum(0) >= 1 and s.read().count() == 400
 
 
 def test_tiers_merge_only_alike():
