@@ -2,13 +2,13 @@
 
 Features are words, and their first four to six letters, that occur in a document.
 The training rows are a bounded sample: at most POSITIVES confirmed toxic documents,
-and about UNLABELLED of all documents, whose labels are not looked at. Of the features
-in LEAST_DOCS positives or more, the FEATURES whose shares differ most between the two
-samples are kept. A logistic score over these is trained in numpy on the non-negative
-risk: prior * loss of positives as toxic + max(0, loss of unlabelled as clean - prior *
-loss of positives as clean), where a negative bracket is stepped back. The prior is
-the toxic share of the training labels. The model has a fixed bound, so it travels
-to the executors as a broadcast.
+and about UNLABELLED of all documents, whose labels are not looked at. All features
+in LEAST_DOCS positives or more, whose shares in the two samples differ by LEAST_GAP
+standard errors or more, are kept. A logistic score over these is trained in numpy on
+the non-negative risk: prior * loss of positives as toxic + max(0, loss of unlabelled
+as clean - prior * loss of positives as clean), where a negative bracket is stepped
+back. The prior is the toxic share of the training labels. The samples bound the model,
+so it travels to the executors as a broadcast.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import store
 
 POSITIVES, UNLABELLED = 20_000, 40_000
-CANDIDATES, FEATURES, LEAST_DOCS = 1 << 15, 2048, 5
+LEAST_DOCS, LEAST_GAP = 5, 4.0
 THRESHOLD = 0.3
 STEPS, BATCH, RATE, DECAY = 600, 2048, 0.02, 1e-4
 EDGES = ".,;:!?\"'()[]{}<>*&%$#|~_-+=/\\"
@@ -77,34 +77,39 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logits, -50, 50)))
 
 
+def risk(params: np.ndarray, pos: list, unl: list, prior: float) -> tuple[float, float, np.ndarray]:
+    """(part, bracket, slope) of the non-negative risk: the positives' loss as toxic times
+    the prior, the bracket, and the slope in params of their sum, or of minus the bracket
+    where that is negative. pos and unl: feature numbers of each row."""
+
+    def side(rows):
+        lengths = np.array([len(r) for r in rows])
+        ids = np.concatenate([np.asarray(r, np.int64) for r in rows]) if lengths.sum() else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        logits = np.bincount(owner, params[ids], len(rows)) + params[-1]
+        return logits, 1 / (1 + np.exp(-np.clip(logits, -50, 50))), ids, owner
+
+    (zp, sp, ip, op), (zu, su, iu, ou) = side(pos), side(unl)
+    part, bracket = prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    dp, du = -prior * sp / len(sp), su / len(su)  # of the bracket, in the logits
+    dp, du = (dp + prior * (sp - 1) / len(sp), du) if bracket >= 0 else (-dp, -du)
+    # of no features at all, bincount makes whole numbers
+    slope = np.bincount(ip, dp[op], len(params)).astype(float) + np.bincount(iu, du[ou], len(params))
+    slope[-1] += dp.sum() + du.sum()
+    return float(part), float(bracket), slope
+
+
 def fit(rows: list[list[int]], positive: np.ndarray, features: int, prior: float, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on mini-batches of both samples. rows: feature numbers."""
     rng = np.random.default_rng(seed)
     pos, unl = np.flatnonzero(positive), np.flatnonzero(~positive)
     params, first, second = (np.zeros(features + 1) for _ in range(3))
     params[-1] = np.log(prior / (1 - prior))
-    if not len(pos) or not len(unl):
+    if not len(pos) or not len(unl) or not features:
         return params[:-1], float(params[-1])
     for step in range(1, STEPS + 1):
-        picks = [rng.choice(x, min(BATCH, len(x)), replace=False) for x in (pos, unl)]
-        slopes = []
-        for pick in picks:
-            lengths = np.array([len(rows[k]) for k in pick])
-            ids = np.concatenate([np.array(rows[k], np.int64) for k in pick]) if lengths.sum() else np.zeros(0, np.int64)
-            owner = np.repeat(np.arange(len(pick)), lengths)
-            logits = np.bincount(owner, params[ids], len(pick)) + params[-1]
-            slopes.append((logits, 1 / (1 + np.exp(-np.clip(logits, -50, 50))), ids, owner))
-        (zp, sp, ip, op), (zu, su, iu, ou) = slopes
-        as_clean = lambda z: np.logaddexp(0, z).mean()
-        bracket = as_clean(zu) - prior * as_clean(zp)
-        # slopes of the risk in the logits: toward toxic for positives, toward clean for the bracket
-        gp, gu = -prior * sp / len(sp), su / len(su)
-        if bracket >= 0:
-            dp, du = prior * (sp - 1) / len(sp) + gp, gu
-        else:  # step the bracket back up
-            dp, du = -gp, -gu
-        slope = np.bincount(ip, dp[op], features + 1) + np.bincount(iu, du[ou], features + 1)
-        slope[-1] += dp.sum() + du.sum()
+        picks = [[rows[k] for k in rng.choice(x, min(BATCH, len(x)), replace=False)] for x in (pos, unl)]
+        slope = risk(params, *picks, prior)[2]
         slope[:-1] += DECAY * params[:-1]
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         params -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -142,33 +147,34 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic).
 
     Rows that held_out() names are neither sampled nor is their label read. A repeated
-    label counts once, the largest where they differ; a null label or id is none. With
-    no positive label, or no documents, the model gives every text the prior."""
-    spark: SparkSession = docs.sparkSession
+    label counts once, the largest where they differ; a null label or id is none. Of rows
+    that repeat an id, one is a training row. With no positive label, no documents or no
+    feature that tells the samples apart, the model gives every text the prior."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = store.table(known.select(F.col("doc_id").alias("__id"), (F.col("toxic") == 1).alias("toxic")), "known")
-    count = known.agg(F.count("*").alias("n"), F.count_if("toxic").alias("toxic")).first()
-    prior = min(max((count.toxic + 1) / (count.n + 2), 0.001), 0.9)
+    known, count = store.counted(known.select(F.col("doc_id").alias("__id"), (F.col("toxic") == 1).alias("toxic")), "known", toxic=F.count_if(F.col("toxic")))
+    prior = min(max((count["toxic"] + 1) / (count["n"] + 2), 0.001), 0.9)
     order = F.xxhash64("__id", F.lit("sample"))
     chosen = store.table(known.where("toxic").orderBy(order, "__id").limit(POSITIVES).select("__id"), "chosen")
     rows = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    total = rows.count()
+    total = rows.agg(F.approx_count_distinct("doc_id")).first()[0]
     parts = 1 << 30
     cut = min(parts, int(parts * UNLABELLED / max(total, 1)) + 1)
     positive = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"), "left_semi").withColumn("positive", F.lit(True))
     unlabelled = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(parts)) < cut).withColumn("positive", F.lit(False))
-    sample = store.table(positive.unionByName(unlabelled), "sample")
-    sizes = {r.positive: r.n for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
+    single = positive.unionByName(unlabelled).groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+    sample, sizes = store.counted(single, "sample", positive=F.count_if(F.col("positive")))
+    n_pos, n_unl = sizes["positive"], sizes["n"] - sizes["positive"]
     if not n_pos or not n_unl:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
-    top = _counts(sample.where("positive"), None).where(F.col("docs") >= LEAST_DOCS).orderBy(F.desc("docs"), "feature").limit(CANDIDATES).toPandas()
+    top = _counts(sample.where("positive"), None).where(F.col("docs") >= LEAST_DOCS).orderBy(F.desc("docs"), "feature").toPandas()  # bounded by the sample
     in_unl = _counts(sample.where("NOT positive"), top["feature"].tolist()).toPandas().set_index("feature")["docs"]
     p = top["docs"].to_numpy(float) / n_pos
     u = top["feature"].map(in_unl).fillna(0).to_numpy(float) / n_unl
     middle = np.clip((p * n_pos + u * n_unl) / (n_pos + n_unl), 1e-9, 1 - 1e-9)
     gap = (p - u) / np.sqrt(middle * (1 - middle) * (1 / n_pos + 1 / n_unl))
-    names = top["feature"].iloc[np.argsort(-np.abs(gap), kind="stable")[:FEATURES]].tolist()
+    names = top["feature"][np.abs(gap) >= LEAST_GAP].tolist()
+    if not names:
+        return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
 
     def features(batches):
         finder = Finder(names)
@@ -197,7 +203,9 @@ def scorer(spark: SparkSession, model: Model):
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of docs: doc_id, held_out, score and predicted (1 from the threshold on)."""
+    """Per row of docs: doc_id, held_out, score and predicted (1 from the threshold on).
+    Repeated rows score alike; a text of any length is scored whole; a score of just the
+    threshold counts as toxic. An empty table gives no rows."""
     score = scorer(docs.sparkSession, train(docs, labels))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
