@@ -23,7 +23,7 @@ REPEAT_PERCENT = 50
 #: A common line is in more documents of its source than this, ...
 LINE_DOCS = 20
 #: ... and in more than one in so many of them.
-LINE_SHARE = 10
+LINE_SHARE = 50
 
 
 def _let(value: Column, body) -> Column:
@@ -36,38 +36,49 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
 
 
-def _count(text: Column, pattern: str) -> Column:
-    """Code points outside the pattern's matches."""
-    return F.length(F.regexp_replace(text, pattern, "")).cast("bigint")
+def _cover(places: Column) -> Column:
+    """Words in the 3-word windows at the places: each covers up to three further ones."""
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).cast("bigint").alias("last"))
+    step = lambda a, p: F.struct((a["n"] + F.least(F.lit(3).cast("bigint"), p - a["last"])).alias("n"), p.alias("last"))
+    return F.aggregate(F.sort_array(places), start, step, lambda a: a["n"])
 
 
-def repeat_words(words: Column) -> Column:
+def _sorted_windows(words: Column) -> Column:
+    """As repeat_words, by the words themselves."""
+    window = lambda k: F.struct(*(F.get(words, k + i).alias(f"w{i}") for i in range(3)), k.cast("bigint").alias("k"))
+    same = lambda a, b: (a["w0"] == b["w0"]) & (a["w1"] == b["w1"]) & (a["w2"] == b["w2"])
+    repeated = lambda s: F.filter(s, lambda v, k: same(v, F.get(s, k + 1)) | same(v, F.get(s, k - 1)))
+    return _let(F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window)), lambda s: _cover(F.transform(repeated(s), lambda v: v["k"])))
+
+
+def repeat_words(words: Column, bits_kept: int = 64) -> Column:
     """Words in 3-word windows that the list holds twice or more, the first included.
 
-    A window is a hash over its place: sorting brings equal windows together, and the
-    places of those then come in order, each covering up to three further words. The
-    place takes as many low bits as the list needs, so the hash keeps 64 less those."""
+    A window is a hash over its place: sorting brings equal windows together. The place
+    takes as many low bits as the list needs, so the hash keeps 64 less those, or
+    bits_kept if that is less. Neighbours of equal hash are compared word by word; where
+    two differ, which only a collision makes, the list is sorted by the words instead."""
 
-    def covered(packed: Column, bits: Column) -> Column:
+    def counted(w: Column, packed: Column, bits: Column) -> Column:
         window = lambda v: F.call_function("shiftrightunsigned", v, bits)
         place = lambda v: v.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+        word = lambda v, i: F.get(w, place(v).cast("int") + i)
+        differ = lambda a, b: (window(a) == window(b)) & ~((word(a, 0) == word(b, 0)) & (word(a, 1) == word(b, 1)) & (word(a, 2) == word(b, 2)))
+        collided = lambda r: F.size(F.filter(r, lambda v, k: differ(v, F.get(r, k + 1)))) > 0
         repeated = F.filter(packed, lambda v, k: (window(v) == window(F.get(packed, k + 1))) | (window(v) == window(F.get(packed, k - 1))))
-        places = F.sort_array(F.transform(repeated, place))
-        start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).cast("bigint").alias("last"))
-        step = lambda a, p: F.struct((a["n"] + F.least(F.lit(3).cast("bigint"), p - a["last"])).alias("n"), p.alias("last"))
-        return F.aggregate(places, start, step, lambda a: a["n"])
+        return _let(repeated, lambda r: F.when(collided(r), _sorted_windows(w)).otherwise(_cover(F.transform(r, place))))
 
     def windows(w: Column, bits: Column) -> Column:
-        return F.sort_array(
-            F.transform(
-                F.sequence(F.lit(0), F.size(w) - 3),
-                lambda k: F.call_function("shiftleft", F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)), bits).bitwiseOR(k.cast("bigint")),
-            )
-        )
+        def packed(k: Column) -> Column:
+            hashed = F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2))
+            hashed = hashed if bits_kept >= 64 else hashed.bitwiseAND((1 << bits_kept) - 1)
+            return F.call_function("shiftleft", hashed, bits).bitwiseOR(k.cast("bigint"))
+
+        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), packed))
 
     bits_of = lambda w: F.length(F.bin(F.size(w).cast("bigint")))
-    counted = lambda w: _let(bits_of(w), lambda bits: _let(windows(w, bits), lambda packed: covered(packed, bits)))
-    return _let(words, lambda w: F.when(F.size(w) >= 4, counted(w)).otherwise(F.lit(0).cast("bigint")))
+    whole = lambda w: _let(bits_of(w), lambda bits: _let(windows(w, bits), lambda packed: counted(w, packed, bits)))
+    return _let(words, lambda w: F.when(F.size(w) >= 4, whole(w)).otherwise(F.lit(0).cast("bigint")))
 
 
 def lines_of(text: Column) -> Column:
@@ -82,15 +93,16 @@ def normalised(line: Column) -> Column:
 def base(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id, the statistics of whole texts, base_failed, and further columns."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words, lines = words_of(text), lines_of(text)
-    counted = docs.select(
+    # split once: the optimizer keeps this projection, since its arrays are used several times
+    split = docs.select("doc_id", text.alias("__text"), words_of(text).alias("__words"), lines_of(text).alias("__lines"), *(c.alias(f"__more{k}") for k, c in enumerate(more)))
+    counted = split.select(
         "doc_id",
-        F.size(words).cast("bigint").alias("n_words"),
-        _count(text, SPACE + "+").alias("word_chars"),
-        (F.length(text) - _count(text, SYMBOLS + "+")).cast("bigint").alias("n_symbols"),
-        _let(lines, lambda v: F.size(v) - F.size(F.array_distinct(v))).cast("bigint").alias("n_dup_lines"),
-        repeat_words(words).alias("n_repeat_words"),
-        *more,
+        F.size("__words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("__words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("__text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
+        repeat_words(F.col("__words")).alias("n_repeat_words"),
+        *(f"__more{k}" for k in range(len(more))),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
@@ -132,7 +144,7 @@ def judge(docs: DataFrame, line_docs: int = LINE_DOCS, share: int = LINE_SHARE)
     A null text has no words, so it fails; a null source is a source of its own; rows
     with a null id are judged as any other, and repeated rows alike."""
     gone = removals(docs, line_docs, share).select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), "removed")
-    rows = base(docs, _content(F.coalesce(F.col("text"), F.lit(""))).alias("__own"))
+    rows = base(docs, _content(F.coalesce(F.col("text"), F.lit("")))).withColumnRenamed("__more0", "__own")
     joined = rows.join(store.small(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__content")), "left")
     lost = F.coalesce(F.col("removed"), F.lit(0).cast("bigint"))
     kept = ~F.col("base_failed") & (2 * lost <= F.col("n_words"))
@@ -145,8 +157,8 @@ def keep(docs: DataFrame, line_docs: int = LINE_DOCS, share: int = LINE_SHARE) -
     names = docs.columns
     gone = removals(docs, line_docs, share).select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), F.col("removed").alias("__removed"), F.col("keys").alias("__keys"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = words_of(text)
-    marked = docs.withColumns({"__own": _content(text), "__n": F.size(words).cast("bigint"), "__repeat": repeat_words(words)})
+    marked = docs.withColumns({"__own": _content(text), "__words": words_of(text)})
+    marked = marked.withColumns({"__n": F.size("__words").cast("bigint"), "__repeat": repeat_words(F.col("__words"))}).drop("__words")
     marked = marked.where((F.col("__n") >= LEAST_WORDS) & (100 * F.col("__repeat") <= REPEAT_PERCENT * F.col("__n")))
     joined = marked.join(store.small(gone, size=8 * F.size("__keys")), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__content")), "left")
     joined = joined.where(2 * F.coalesce("__removed", F.lit(0)) <= F.col("__n"))
@@ -172,7 +184,7 @@ ln AS (SELECT doc_id, text, host, len(regexp_extract_all(line, '[^\x20\x09-\x0D]
        FROM (SELECT doc_id, text, host, unnest(lines) AS line FROM w)),
 hosts AS (SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host),
 common AS (SELECT l.host, l.line FROM ln l JOIN hosts h ON h.host = l.host GROUP BY l.host, l.line, h.docs
-           HAVING count(DISTINCT l.text) > 20 AND count(DISTINCT l.text) * 10 > h.docs),
+           HAVING count(DISTINCT l.text) > 20 AND count(DISTINCT l.text) * 50 > h.docs),
 gone AS (SELECT doc_id, sum(n) AS removed FROM ln JOIN common USING (host, line) GROUP BY doc_id),
 b AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -365,6 +365,53 @@ def test_leaks_tolerate_substitutions(spark):
     assert decontaminate.leaks(rows.limit(0), items).count() == 0 and decontaminate.keep(rows, items.limit(0)).count() == len(texts)
 
 
+@pytest.mark.parametrize("words_", range(1, 17))
+def test_every_accepted_replacement_has_a_seed(words_):
+    from itertools import combinations
+
+    size = min(words_, decontaminate.WINDOW)
+    masks = decontaminate.plan(words_)
+    for lost in combinations(range(size), size - math.ceil(decontaminate.SHARE * size)):
+        for start in range(words_ - size + 1):
+            gone = {start + k for k in lost}
+            places = [(m, p) for m, at in masks for p in (range(start, start + size - len(m) + 1) if at is None else [at])]
+            assert any(not gone & {p + k for k, one in enumerate(m) if one == "1"} for m, p in places), (words_, lost)
+
+
+def brute_leaks(texts, items):
+    """Every place of every item in every text."""
+    cut = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+    found = set()
+    for d, t in enumerate(texts):
+        x = cut(t)
+        for i, item in enumerate(items):
+            y = cut(item)
+            w, best = min(13, len(y)), None
+            for shift in range(-len(y) + 1, len(x)):
+                equal = [0 <= shift + k < len(x) and x[shift + k] == v for k, v in enumerate(y)]
+                if w and max(sum(equal[k : k + w]) for k in range(len(y) - w + 1)) >= 0.8 * w:
+                    best = max(best or (0, 0), (sum(equal), -shift))
+            if best:
+                found.add((d, i, -best[1], best[0]))
+    return found
+
+
+def test_leaks_equal_all_places(spark):
+    rng, vocabulary = random.Random(5), [f"w{k}" for k in range(400)]
+    items = [" ".join(rng.choices(vocabulary, k=n)) for n in (1, 2, 3, 4, 5, 6, 7, 7, 8, 9, 10, 11, 12, 12, 13, 14, 20, 35)]
+    texts = []
+    for k in range(120):
+        w = rng.choices(vocabulary, k=rng.randint(0, 60))
+        item = items[k % len(items)].split()
+        for _ in range(rng.choice((0, 1, 1, 2, 3))):
+            item[rng.randrange(len(item))] = "other"
+        at = rng.randint(0, len(w))
+        texts.append(" ".join(w[:at] + item[rng.choice((0, 0, 1)) :] + w[at:]))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id, r.place, r.matched) for r in decontaminate.leaks(docs(spark, texts), table).collect()}
+    assert got == brute_leaks(texts, items) and len(got) > 60
+
+
 def brute_quality(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
@@ -381,6 +428,16 @@ def test_quality_statistics_equal_brute_force(spark):
     assert quality.judge(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_repeated_windows_are_exact_under_collisions(spark):
+    """With hashes of no, one or two bits, all windows collide."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abcd", k=rng.randint(1, 40))) for _ in range(40)] + [words(40), words(20) + " " + words(20)]
+    rows = docs(spark, texts)
+    for bits in (0, 1, 2, 64):
+        got = {r.doc_id: r.n for r in rows.select("doc_id", quality.repeat_words(quality.words_of(F.col("text")), bits).alias("n")).collect()}
+        assert [got[k] for k in range(len(texts))] == [brute_quality(t)[4] for t in texts]
+
+
 def test_common_lines_go_and_depleted_documents(spark):
     common, more = "  Menu   " + words(20, 1), words(40, 2)
     texts = [common + "\n" + more + "\n" + words(100, k + 50) for k in range(8)] + [common.upper() + "\n" + words(60, 90) + "\n" + common, common + "\n" + words(30, 7) + "\n" + more]
@@ -419,6 +476,43 @@ def test_toxicity_learns_from_positives_only_of_its_folds(spark):
     assert toxicity.judge(docs(spark, texts).limit(0), labels).count() == 0
 
 
+def test_toxicity_with_few_positives_repeated_ids_and_long_texts(spark, monkeypatch):
+    texts = [words(30, k) for k in range(40)] + ["word " * 300_000, ""]
+    for marks in ([(0, 1)], [(0, 1), (1, 1), (2, 1)], [(3, 0)], []):
+        labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+        rows = toxicity.judge(docs(spark, texts), labels).collect()
+        assert len(rows) == len(texts) and len({r.score for r in rows}) == 1
+    monkeypatch.setattr(toxicity, "POSITIVES", 5)
+    monkeypatch.setattr(toxicity, "LEAST_GAP", 0.0)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, positive, *a: (seen.append((int(positive.sum()), len(rows))), (np.zeros(a[0]), 0.0))[1])
+    ids = [k for k in range(0, 40, 1) for _ in range(30)]
+    texts = [f"bad{k % 3} trash moron " + words(9, k) if k < 20 else words(9, k) for k in ids]
+    toxicity.judge(docs(spark, texts, ids), spark.createDataFrame([(k, int(k < 20)) for k in range(40)], "doc_id bigint, toxic int"))
+    assert seen and seen[0][0] == 5 and seen[0][1] <= 45
+
+
+def test_a_score_of_the_threshold_is_toxic(spark):
+    rows = toxicity.judge(docs(spark, ["a", "b"]), spark.createDataFrame([], "doc_id bigint, toxic int"), 0.5).collect()
+    assert [r.score for r in rows] == [0.5, 0.5] and [r.predicted for r in rows] == [1, 1]
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.85])
+def test_risk_slope_equals_differences(prior):
+    rng = np.random.default_rng(1)
+    pos, unl = ([rng.choice(6, rng.integers(0, 4), replace=False).tolist() for _ in range(n)] for n in (7, 11))
+    params, seen = rng.normal(size=7) + (2 if prior > 0.5 else 0), set()
+    for scale in (1, -1):
+        at = params * scale
+        _, bracket, slope = toxicity.risk(at, pos, unl, prior)
+        seen.add(bracket >= 0)
+        whole = lambda x: sum(toxicity.risk(x, pos, unl, prior)[:2]) if bracket >= 0 else -toxicity.risk(x, pos, unl, prior)[1]
+        steps = np.eye(7) * 1e-6
+        assert slope == pytest.approx([(whole(at + s) - whole(at - s)) / 2e-6 for s in steps], abs=1e-6)
+        assert toxicity.risk(at, [[]], [[]], prior)[2].dtype == float
+    assert True in seen
+
+
 # Language model and shards
 
 
