@@ -1,16 +1,19 @@
 """Stupid-backoff scores of documents under the counts of the whole corpus.
 
-Documents are dealt by hash to blocks. Each block explodes its texts into n-grams,
-counts them, and sends each bucket of a hash-partitioned count table what it has: an
-n-gram once for each block, however often it occurs, so no n-gram is hot. A bucket
-adds up the counts and answers each block in the order of its question. A block
-joins the answers to its n-grams and sums the scores of each document.
+Documents are dealt by hash to blocks. For each order n a block explodes its texts into
+n-grams and counts them: rows (gram, block, n), one for each block that has the gram,
+however often, so that no gram is hot. The rows are partitioned by the gram's hash; there
+they are summed to the count table, which is joined to the same rows on the gram. Counts
+of grams that other blocks have too go back to their blocks; of all others the block's
+own count is the whole. With all counts, a block scores its documents' words and sums
+them for each document.
+
+An n-gram can be in another document only if the two (n-1)-grams in it are. So of each
+order only those are asked for whose parts have been found elsewhere; it leaves out none
+that another document has.
 
 A document's own n-grams are taken out of the counts that score it, since they
 would vouch for it: the score tells how well the rest of the corpus predicts it.
-
-The rows between blocks and buckets carry packed arrays, of 8 bytes for each
-distinct n-gram of a block and 4 for its answer.
 """
 
 from __future__ import annotations
@@ -23,131 +26,140 @@ from pyspark.sql import functions as F
 from . import store
 from .wordhash import hash_words, mix
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BLOCK_DOCS = 4096
 #: Bytes of text of a block on average at most.
 BLOCK_BYTES = 64 << 20
+#: Blocks whose rows a partition of the count table takes on average at most.
+BLOCKS_A_PART = 8
 ODD = np.uint64(0xD1342543DE82EF95)
 
+ASKED = "gram bigint, block int, n int"
+SUMS = "doc_id bigint, n_words bigint, n_unigrams bigint, logs double"
 
-def grams(hashes: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1 .. order: (keys, places), of each n-gram the place of its last word. No n-gram spans two texts."""
-    start = np.repeat(offsets[:-1], np.diff(offsets))
-    out = []
-    for n in range(1, order + 1):
-        places = np.flatnonzero(np.arange(len(hashes)) - start >= n - 1)
-        key = np.full(len(places), n, np.uint64)
-        for k in range(n - 1, -1, -1):
-            key = key * ODD + hashes[places - k]
-        out.append((mix(key), places))
-    return out
-
-
-def _edges(buckets: int) -> np.ndarray:
-    return np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
-
-
-def _counted(table: pa.Table, order: int):
-    texts = table.column("text").combine_chunks()
-    hashes, offsets = hash_words(texts)
-    made = grams(hashes, offsets, order)
-    keys, inverse, counts = np.unique(np.concatenate([k for k, _ in made]), return_inverse=True, return_counts=True)
-    return hashes, offsets, made, keys, inverse, counts
-
-
-def _ask(order: int, buckets: int):
-    edges = _edges(buckets)
-
-    def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        *_, keys, _, counts = _counted(table, order)
-        cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
-        counts = counts.astype(np.uint32)
-        rows = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
-        return pa.table(
-            {
-                "block": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-                "bucket": pa.array([k for k, *_ in rows], pa.int64()),
-                "keys": pa.array([keys[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
-            }
-        )
 
+def gram_hashes(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of all n-grams, of each the place of its last word. No n-gram spans two texts."""
+    start = np.repeat(offsets[:-1], np.diff(offsets))
+    places = np.flatnonzero(np.arange(len(hashes)) - start >= n - 1)
+    key = np.full(len(places), n, np.uint64)
+    for k in range(n - 1, -1, -1):
+        key = key * ODD + hashes[places - k]
+    return mix(key).view(np.int64), places
+
+
+class Block:
+    """The words of a block's texts, and for each order, at each word, how often the
+    n-gram that ends there occurs outside its document: -1 where no n-gram ends."""
+
+    def __init__(self, texts: pa.Table, answers: pa.Table | None):
+        self.hashes, self.offsets = hash_words(texts.column("text").combine_chunks())
+        self.owner = np.repeat(np.arange(texts.num_rows), np.diff(self.offsets))
+        gram, total = (answers.column(c).to_numpy() for c in ("gram", "total")) if answers is not None else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(gram)
+        self.known, self.totals = gram[order], total[order]
+        self.rests: list[np.ndarray] = []
+
+    def count(self) -> tuple[np.ndarray, ...]:
+        """(all places, places, number of the gram at each, grams, their counts) of the
+        next order; only places whose parts are known elsewhere are counted."""
+        key, every = gram_hashes(self.hashes, self.offsets, len(self.rests) + 1)
+        places = every
+        if self.rests:
+            may = (self.rests[-1][every] > 0) & (self.rests[-1][every - 1] > 0)
+            key, places = key[may], every[may]
+        grams, number, counts = np.unique(key, return_inverse=True, return_counts=True)
+        return every, places, number, grams, counts
+
+    def learn(self) -> None:
+        """Takes in the answers to the next order."""
+        every, places, number, grams, totals = self.count()
+        at = np.minimum(np.searchsorted(self.known, grams), max(len(self.known) - 1, 0))
+        if len(self.known):
+            totals = np.where(self.known[at] == grams, self.totals[at], totals)
+        _, back, own = np.unique(self.owner[places] * max(len(grams), 1) + number, return_inverse=True, return_counts=True)
+        rest = np.full(len(self.hashes), -1, np.int64)
+        rest[every] = 0
+        rest[places] = totals[number] - own[back]
+        self.rests.append(rest)
+
+    def logs(self, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+        """At each word the log10 of its score, without the division of those scored as
+        single words by the number of words, and whether it is one of them."""
+        # a word that the rest of the corpus lacks counts as one half
+        logs = np.log10(np.maximum(self.rests[0], 0.5))
+        single, penalty = np.ones(len(self.hashes), bool), np.zeros(len(self.hashes))
+        for shorter, rest in zip(self.rests[:-1], self.rests[1:]):
+            context = np.concatenate([[1], shorter[:-1]]) if len(shorter) else shorter
+            seen = (rest > 0) & (context > 0)
+            penalty = np.where(seen, 0, penalty + np.where(rest >= 0, np.log10(backoff), 0))
+            logs = np.where(seen, np.log10(np.maximum(rest, 1)) - np.log10(np.maximum(context, 1)), logs)
+            single &= ~seen
+        return logs + penalty, single
+
+
+def _ask(order: int):
+    def ask(key: tuple[pa.Scalar, ...], texts: pa.Table, answers: pa.Table | None) -> pa.Table:
+        kinds = (pa.int64(), pa.int32(), pa.int32())
+        if not texts.num_rows:
+            grams = counts = np.zeros(0, np.int64)
+        else:
+            block = Block(texts, answers)
+            for _ in range(order - 1):
+                block.learn()
+            *_, grams, counts = block.count()
+        columns = (grams, np.full(len(grams), key[0].as_py()), counts)
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["gram", "block", "n"])
+
+    if order == 1:
+        return lambda key, texts: ask(key, texts, None)
     return ask
 
 
-def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    asked = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-    total, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-    had = np.concatenate([np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()])
-    sums = np.bincount(inverse, had, len(total)).astype(np.int64)[inverse]
-    at = np.cumsum([len(k) for k in asked])[:-1]
-    answers = [np.minimum(x, 0xFFFFFFFF).astype(np.uint32).tobytes() for x in np.split(sums, at)]
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(answers, pa.binary())})
-
-
-SUMS = "doc_id bigint, n_words bigint, n_unigrams bigint, logs double"
-
-
 def _score(order: int, backoff: float):
     names = [x.split()[0] for x in SUMS.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
 
-    def score(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return pa.Table.from_arrays([pa.array([], k) for k in kinds], names=names)
-        hashes, offsets, made, keys, inverse, _ = _counted(docs, order)
-        by_bucket = np.argsort(answers.column("bucket").to_numpy())
-        got = answers.column("totals").to_pylist()
-        totals = np.frombuffer(b"".join(got[k] for k in by_bucket), np.uint32).astype(np.int64)
-        if len(totals) != len(keys):
-            raise ValueError(f"block {key[0]}: {len(totals)} answers to {len(keys)} questions")
-        owner = np.repeat(np.arange(docs.num_rows), np.diff(offsets))
-        # counts without the document's own, by place, for each n
-        rest, at = [], 0
-        for _, places in made:
-            own = inverse[at : at + len(places)]
-            at += len(places)
-            _, back, mine = np.unique(owner[places] * len(keys) + own, return_inverse=True, return_counts=True)
-            left = np.full(len(hashes), -1, np.int64)
-            left[places] = totals[own] - mine[back]
-            rest.append(left)
-        # the longest n whose n-gram the rest of the corpus has; a word that it lacks counts as one half
-        logs = np.log10(np.maximum(rest[0], 0.5))
-        unigram = np.ones(len(hashes), bool)
-        penalty = np.zeros(len(hashes))
-        for n in range(2, order + 1):
-            fits = rest[n - 1] >= 0  # enough words before it
-            context = np.concatenate([[1], rest[n - 2][:-1]]) if len(hashes) else rest[n - 2]
-            seen = fits & (rest[n - 1] > 0) & (context > 0)
-            penalty = np.where(seen, 0, penalty + np.where(fits, np.log10(backoff), 0))
-            logs = np.where(seen, np.log10(np.maximum(rest[n - 1], 1)) - np.log10(np.maximum(context, 1)), logs)
-            unigram &= ~seen
-        count = docs.num_rows
-        return pa.Table.from_arrays(
-            [docs.column("doc_id").combine_chunks().cast(pa.int64()), pa.array(np.diff(offsets)), pa.array(np.bincount(owner, unigram, count).astype(np.int64)), pa.array(np.bincount(owner, logs + penalty, count))], names=names
-        )
+    def score(key: tuple[pa.Scalar, ...], texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table([pa.array([], k) for k in kinds], names=names)
+        block = Block(texts, answers)
+        for _ in range(order):
+            block.learn()
+        logs, single = block.logs(backoff)
+        sums = (np.diff(block.offsets), np.bincount(block.owner, single, texts.num_rows), np.bincount(block.owner, logs, texts.num_rows))
+        return pa.table([texts.column("doc_id").cast(kinds[0]), *(pa.array(np.asarray(x), pa.float64()).cast(k) for x, k in zip(sums, kinds[1:]))], names=names)
 
     return score
 
 
+def _answers(asked: DataFrame, parts: int) -> DataFrame:
+    """(block, gram, total) of the grams that several blocks have: the count table, joined to the rows that it sums."""
+    dealt = asked.repartition(parts, "gram")
+    counts = dealt.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("blocks")).where("blocks > 1")
+    return dealt.join(counts.select(F.col("gram").alias("__gram"), "total").hint("shuffle_hash"), F.col("gram") == F.col("__gram")).select("block", "gram", "total")
+
+
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_words, n_unigrams (the words scored
     without context) and score, the mean log10 of the words' stupid-backoff scores.
 
     Words are lower-case runs without white space. A text without words has a null
     score. Rows are documents: a repeated row counts for the other. Null ids stay null.
-    Blocks take at most block_docs rows and BLOCK_BYTES on average, dealt by id and text."""
+    Blocks take at most block_docs rows and BLOCK_BYTES on average, dealt by id and text;
+    a longer text makes its block that much larger."""
     spark = docs.sparkSession
     sizes = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(1, -(-sizes.n // block_docs), -(-(sizes.bytes or 0) // BLOCK_BYTES))
-    parts = min(blocks, 2 * store.partitions(spark)) if blocks > 1 else 1
-    dealt = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
-    dealt = dealt.repartition(parts, "block")
-    asked = dealt.groupBy("block").applyInArrow(_ask(order, blocks), "block bigint, bucket bigint, keys binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, totals binary")
-    sums = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order, backoff), SUMS)
-    sums = store.table(sums, "sums")
+    parts = min(blocks, max(2 * store.partitions(spark), -(-blocks // BLOCKS_A_PART)))
+    dealt = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = dealt.repartition(parts, "block").groupBy("block")
+    answers = store.table(_answers(dealt.applyInArrow(_ask(1), ASKED), parts), "answers")
+    for n in range(2, order + 1):
+        asked = dealt.cogroup(answers.groupBy("block")).applyInArrow(_ask(n), ASKED)
+        answers = answers.unionByName(store.table(_answers(asked, parts), "answers"))
+    sums = store.table(dealt.cogroup(answers.groupBy("block")).applyInArrow(_score(order, backoff), SUMS), "sums")
     total = sums.agg(F.sum("n_words")).first()[0] or 0
     mean = (F.col("logs") - F.col("n_unigrams") * F.log10(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)))) / F.col("n_words")
     return sums.select("doc_id", "n_words", "n_unigrams", F.when(F.col("n_words") > 0, mean).alias("score"))

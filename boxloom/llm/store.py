@@ -30,26 +30,29 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-#: Spark's limit to the bytes of an Arrow batch, and the one used here: texts can be long.
-BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+#: While a table is written: the bytes of an Arrow batch, since texts can be long, and
+#: shuffle files removed once it is, since no later step reads them.
+CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: df written as Parquet to the shared folder, and reread.
 
-    Replicated storage holds the rows, so a lost executor costs no recomputation.
-    Meanwhile the rows that go to Python come in batches of about BATCH_BYTES."""
+    Replicated storage holds the rows, so a lost executor costs no recomputation, and
+    the shuffle files that made them go at once. Rows go to Python in bounded batches."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
-    before = spark.conf.get(BATCH_CONF, None)
-    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    before = {key: spark.conf.get(key, None) for key in CONF}
+    for key, value in CONF.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(BATCH_CONF)
-        else:
-            spark.conf.set(BATCH_CONF, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

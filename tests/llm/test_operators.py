@@ -536,9 +536,43 @@ def test_the_query_scores_words_by_trigrams(spark, tmp_path):
     assert used > 5
 
 
+def backoff_scores(texts, order):
+    """Each text's score under the counts of all the others, by definition."""
+    bags = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for t in texts]
+    counts = lambda b: Counter(tuple(b[k : k + n]) for n in range(1, order + 1) for k in range(len(b) - n + 1))
+    total = sum((counts(b) for b in bags), Counter())
+    for b in bags:
+        rest, logs = total - counts(b), []
+        left = sum(v for g, v in rest.items() if len(g) == 1)
+        for i in range(len(b)):
+            most = min(order, i + 1)
+            n = next((n for n in range(most, 1, -1) if rest[tuple(b[i - n + 1 : i + 1])] and rest[tuple(b[i - n + 1 : i])]), 1)
+            gram = tuple(b[i - n + 1 : i + 1])
+            logs.append((most - n) * math.log10(0.4) + math.log10(rest[gram] or 0.5) - math.log10(rest[gram[:-1]] if n > 1 else max(left, 1)))
+        yield sum(logs) / len(logs) if logs else None
+
+
+@pytest.mark.parametrize("order, block_docs", [(1, 3), (3, 1), (3, 4), (3, 1000), (4, 5)])
+def test_stupid_backoff_of_any_order_equals_brute_force(spark, order, block_docs):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choices("abcdefghijkl", [40, 20, 10, 5, 4, 3, 2, 1, 1, 1, 1, 1], k=rng.randint(0, 50))) for _ in range(24)]
+    texts += [None, "", "x", texts[0], texts[0], texts[1], "long " * 2000 + texts[2]]
+    rows = docs(spark, texts, [*range(len(texts) - 1), 3])
+    got = Counter((r.doc_id, None if r.score is None else round(r.score, 9)) for r in lm.scores(rows, order, block_docs=block_docs).collect())
+    want = Counter((r.doc_id, None if s is None else round(s, 9)) for r, s in zip(rows.collect(), backoff_scores(texts, order)))
+    assert got == want
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before = files()
+    store.table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().join(spark.range(50).withColumnRenamed("id", "k"), "k"), "test")
+    assert files() <= before
+
+
 def test_stupid_backoff_equals_brute_force(spark):
     texts = ["a b c a b", "a b d", None, "", "x", "a b c a b", "B c A"]
-    got = {r.doc_id: r for r in lm.scores(docs(spark, texts), block_docs=2).collect()}
+    got = {r.doc_id: r for r in lm.scores(docs(spark, texts), order=2, block_docs=2).collect()}
     bags = [re.findall(r"\S+", (t or "").lower()) for t in texts]
     one, two = Counter(w for b in bags for w in b), Counter(p for b in bags for p in zip(b, b[1:]))
     total = sum(one.values())
