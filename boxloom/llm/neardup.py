@@ -203,20 +203,19 @@ def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, na
     if not several["n"]:
         return None
     rows = own.join(store.small(mixed, rows=several["n"]), "bucket").withColumn("apart", F.col("own") != F.col("main"))
-    rows, sides = store.counted(store.fitted(rows.select("node", "bucket", "own", "apart", "homes", "rooms"), held), "sides", cells=F.sum(F.when(F.col("apart"), F.col("homes")).otherwise(0) + F.col("rooms")))
-    rows = rows.join(nodes.select("node", "low"), "node")
+    rows = store.table(rows.select("node", "bucket", "own", "apart", "homes", "rooms"), "sides").join(nodes.select("node", "low"), "node")
     place = lambda seed, n: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     names = ("node", "own", "low", "bucket")
     at_home = rows.select(*names, F.lit(False).alias("visits"), place(1, "homes").alias("home"), each("rooms").alias("room"))
     visitors = rows.where("apart").select(*names, F.lit(True).alias("visits"), place(2, "rooms").alias("room"), each("homes").alias("home"))
     flagged = at_home.unionByName(visitors).groupBy(CELL).applyInArrow(_flag(registers), FLAGGED)
-    flagged, likely = store.counted(store.fitted(flagged, 16 * sides["cells"]), "flagged")
+    flagged, likely = store.counted(flagged, "flagged")
     if not likely["n"]:
         return None
     texts, _ = _texts(docs, nodes, flagged.select("node").distinct(), likely["n"])
     cells = flagged.join(texts, "node").groupBy(CELL).applyInArrow(_join(similarity, width), "a bigint, b bigint")
-    return store.table(store.fitted(cells, 16 * likely["n"]), "across")
+    return store.table(cells, "across")
 
 
 # Links and classes
@@ -224,20 +223,20 @@ def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, na
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, most: int) -> tuple[DataFrame, int]:
     """A stored table (node, text) of the wanted nodes, at most so many. Only their texts move."""
-    wanted = wanted.join(nodes.select("node", F.col("rep").alias("__rep"), F.col("content").alias("__content")), "node")
+    wanted = nodes.select("node", F.col("rep").alias("__rep"), F.col("content").alias("__content")).join(store.small(wanted, rows=most), "node")
     wanted, known = store.counted(store.fitted(wanted, most), "wanted")
     rows = docs.select(F.col("doc_id").alias("rep"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("content", F.xxhash64("text"))
     texts = rows.join(store.small(wanted, rows=known["n"]), (F.col("rep") == F.col("__rep")) & (F.col("content") == F.col("__content")))
     # one of the rows that repeat an id and its text
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    return store.table(store.fitted(texts, 16 * known["n"]), "texts"), known["n"]
+    return store.table(texts, "texts"), known["n"]
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, count: int, similarity: float, width: int) -> DataFrame:
     """Those of pairs (a, b) whose texts overlap enough."""
     texts, _ = _texts(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * count)
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    return store.fitted(sides.where(overlap(width)("x", "y") >= similarity).select("a", "b"), 16 * count)
+    return sides.where(overlap(width)("x", "y") >= similarity).select("a", "b")
 
 
 def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
@@ -249,11 +248,13 @@ def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
     both, _ = store.counted(store.fitted(links.select("a", "b").union(links.select("b", "a")).distinct(), 2 * count), "links")
     labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
     labels, known = store.counted(store.fitted(labels, count), "labels")
+    none = F.lit(None).cast("bigint")
     while True:
         small = lambda names: store.small(labels.toDF(*names), rows=known["n"])
-        near = both.join(small(("b", "label")), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, F.col("node") == F.col("a"), "left").join(small(("at", "jump")), F.col("label") == F.col("at"), "left")
-        lower = lower.select("node", F.col("label").alias("was"), F.least("label", "near", "jump").alias("label"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        near = both.join(small(("b", "label")), "b").select(F.col("a").alias("node"), "label", none.alias("was"))
+        jump = labels.join(small(("at", "jump")), F.col("label") == F.col("at")).select("node", F.col("jump").alias("label"), none.alias("was"))
+        lower = own.unionByName(near).unionByName(jump).groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was"))
         lower, moved = store.counted(store.fitted(lower, count), "labels", changed=F.count_if(F.col("label") < F.col("was")))
         labels = lower.select("node", "label")
         if not moved["changed"]:
@@ -271,7 +272,7 @@ def _stars(nodes: DataFrame, members: DataFrame, held: int, registers: int) -> t
     pairs, found = store.counted(store.fitted(pairs, 2 * held), "pairs")
     side = lambda k, v: nodes.select(F.col("node").alias(k), F.col("low").alias(v))
     likely = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(_agreement(registers)("x", "y") >= LIKELY).select("a", "b")
-    likely, left = store.counted(store.fitted(likely, 8 * found["n"]), "likely")
+    likely, left = store.counted(likely, "likely")
     return likely, left["n"]
 
 
@@ -289,7 +290,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
     alone = F.col("key").isNull() | F.col("doc_id").isNull()
     # bands and registers are the same in all copies, so that copies meet before the shuffle
     keyed = signed.where(~alone).groupBy("key").agg(F.min(F.struct("doc_id", "content")).alias("r"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
-    keyed = store.fitted(keyed, 8 * total["n"]).select(F.monotonically_increasing_id().alias("node"), "key", F.col("r.doc_id").alias("rep"), F.col("r.content").alias("content"), "n", "size", "bands", "low")
+    keyed = keyed.select(F.monotonically_increasing_id().alias("node"), "key", F.col("r.doc_id").alias("rep"), F.col("r.content").alias("content"), "n", "size", "bands", "low")
     nodes, texts = store.counted(keyed, "nodes")
 
     named = _named(docs, nodes, texts["n"], bands, rows, similarity, width, block)
@@ -320,7 +321,7 @@ def _named(docs: DataFrame, nodes: DataFrame, count: int, bands: int, rows: int,
     if across is not None:
         both, found = store.counted(across.union(named.where("node != class").toDF("a", "b")).distinct(), "both")
         named, linked = components(both, found["n"])
-    least = named.join(nodes.select("node", "rep"), "node").groupBy("class").agg(F.min("rep").alias("class_id"))
+    least = nodes.select("node", "rep").join(store.small(named, rows=linked), "node").groupBy("class").agg(F.min("rep").alias("class_id"))
     least, several = store.counted(store.fitted(least, linked), "least")
     named = named.join(store.small(least, rows=several["n"]), "class").select(F.col("node").alias("__node"), "class_id")
     named, linked = store.counted(store.fitted(named, linked), "named")
