@@ -18,10 +18,13 @@ would vouch for it: the score tells how well the rest of the corpus predicts it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from . import store
 from .wordhash import hash_words, mix
@@ -49,72 +52,83 @@ def gram_hashes(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.nda
     return mix(key).view(np.int64), places
 
 
+PACKED = "doc_id bigint, block int, size int, text binary"
+
+
+def _pack(batches):
+    """The texts compressed, since each order deals them anew."""
+    zstd = pa.Codec("zstd", 3)
+    for batch in batches:
+        texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        sizes, packed = pa.array(map(len, texts), pa.int32()), pa.array([zstd.compress(t, asbytes=True) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("block"), sizes, packed], names=[c.split()[0] for c in PACKED.split(", ")])
+
+
 class Block:
-    """The words of a block's texts, and for each order, at each word, how often the
-    n-gram that ends there occurs outside its document: -1 where no n-gram ends."""
+    """The words of a block's texts, and the answers (gram, total) that it got."""
 
     def __init__(self, texts: pa.Table, answers: pa.Table | None):
-        self.hashes, self.offsets = hash_words(texts.column("text").combine_chunks())
+        zstd = pa.Codec("zstd")
+        raw = [zstd.decompress(t, n, asbytes=True) for t, n in zip(texts.column("text").to_pylist(), texts.column("size").to_pylist())]
+        self.hashes, self.offsets = hash_words(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
         self.owner = np.repeat(np.arange(texts.num_rows), np.diff(self.offsets))
         gram, total = (answers.column(c).to_numpy() for c in ("gram", "total")) if answers is not None else (np.zeros(0, np.int64),) * 2
         order = np.argsort(gram)
         self.known, self.totals = gram[order], total[order]
-        self.rests: list[np.ndarray] = []
 
-    def count(self) -> tuple[np.ndarray, ...]:
-        """(all places, places, number of the gram at each, grams, their counts) of the
-        next order; only places whose parts are known elsewhere are counted."""
-        key, every = gram_hashes(self.hashes, self.offsets, len(self.rests) + 1)
+    def count(self, n: int, shorter: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """(all places of n-grams, places, number of the gram at each, grams, their
+        counts). With the outside counts of order n - 1, only those whose parts have some."""
+        key, every = gram_hashes(self.hashes, self.offsets, n)
         places = every
-        if self.rests:
-            may = (self.rests[-1][every] > 0) & (self.rests[-1][every - 1] > 0)
+        if shorter is not None:
+            may = (shorter[every] > 0) & (shorter[every - 1] > 0)
             key, places = key[may], every[may]
         grams, number, counts = np.unique(key, return_inverse=True, return_counts=True)
         return every, places, number, grams, counts
 
-    def learn(self) -> None:
-        """Takes in the answers to the next order."""
-        every, places, number, grams, totals = self.count()
-        at = np.minimum(np.searchsorted(self.known, grams), max(len(self.known) - 1, 0))
+    def outside(self, n: int, shorter: np.ndarray | None = None) -> np.ndarray:
+        """At each word, how often the n-gram that ends there occurs outside its document; -1 where none ends."""
+        every, places, number, grams, own = self.count(n, shorter)
+        totals = own
         if len(self.known):
-            totals = np.where(self.known[at] == grams, self.totals[at], totals)
-        _, back, own = np.unique(self.owner[places] * max(len(grams), 1) + number, return_inverse=True, return_counts=True)
+            at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+            totals = np.where(self.known[at] == grams, self.totals[at], own)
+        _, back, mine = np.unique(self.owner[places] * max(len(grams), 1) + number, return_inverse=True, return_counts=True)
         rest = np.full(len(self.hashes), -1, np.int64)
         rest[every] = 0
-        rest[places] = totals[number] - own[back]
-        self.rests.append(rest)
+        rest[places] = totals[number] - mine[back]
+        return rest
 
-    def logs(self, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+    def logs(self, order: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
         """At each word the log10 of its score, without the division of those scored as
         single words by the number of words, and whether it is one of them."""
+        shorter = self.outside(1)
         # a word that the rest of the corpus lacks counts as one half
-        logs = np.log10(np.maximum(self.rests[0], 0.5))
+        logs = np.log10(np.maximum(shorter, 0.5))
         single, penalty = np.ones(len(self.hashes), bool), np.zeros(len(self.hashes))
-        for shorter, rest in zip(self.rests[:-1], self.rests[1:]):
+        for n in range(2, order + 1):
+            rest = self.outside(n, shorter)
             context = np.concatenate([[1], shorter[:-1]]) if len(shorter) else shorter
             seen = (rest > 0) & (context > 0)
             penalty = np.where(seen, 0, penalty + np.where(rest >= 0, np.log10(backoff), 0))
             logs = np.where(seen, np.log10(np.maximum(rest, 1)) - np.log10(np.maximum(context, 1)), logs)
             single &= ~seen
+            shorter = rest
         return logs + penalty, single
 
 
-def _ask(order: int):
+def _ask(n: int):
+    """The rows of a block for order n; beyond the first, with the answers to order n - 1."""
     def ask(key: tuple[pa.Scalar, ...], texts: pa.Table, answers: pa.Table | None) -> pa.Table:
-        kinds = (pa.int64(), pa.int32(), pa.int32())
-        if not texts.num_rows:
-            grams = counts = np.zeros(0, np.int64)
-        else:
+        grams = counts = np.zeros(0, np.int64)
+        if texts.num_rows:
             block = Block(texts, answers)
-            for _ in range(order - 1):
-                block.learn()
-            *_, grams, counts = block.count()
-        columns = (grams, np.full(len(grams), key[0].as_py()), counts)
-        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["gram", "block", "n"])
+            *_, grams, counts = block.count(n, block.outside(n - 1) if n > 1 else None)
+        kinds = (pa.int64(), pa.int32(), pa.int32())
+        return pa.table([pa.array(c, kind) for c, kind in zip((grams, np.full(len(grams), key[0].as_py()), counts), kinds)], names=["gram", "block", "n"])
 
-    if order == 1:
-        return lambda key, texts: ask(key, texts, None)
-    return ask
+    return ask if n > 1 else lambda key, texts: ask(key, texts, None)
 
 
 def _score(order: int, backoff: float):
@@ -125,9 +139,7 @@ def _score(order: int, backoff: float):
         if not texts.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         block = Block(texts, answers)
-        for _ in range(order):
-            block.learn()
-        logs, single = block.logs(backoff)
+        logs, single = block.logs(order, backoff)
         sums = (np.diff(block.offsets), np.bincount(block.owner, single, texts.num_rows), np.bincount(block.owner, logs, texts.num_rows))
         return pa.table([texts.column("doc_id").cast(kinds[0]), *(pa.array(np.asarray(x), pa.float64()).cast(k) for x, k in zip(sums, kinds[1:]))], names=names)
 
@@ -135,10 +147,11 @@ def _score(order: int, backoff: float):
 
 
 def _answers(asked: DataFrame, parts: int) -> DataFrame:
-    """(block, gram, total) of the grams that several blocks have: the count table, joined to the rows that it sums."""
-    dealt = asked.repartition(parts, "gram")
-    counts = dealt.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("blocks")).where("blocks > 1")
-    return dealt.join(counts.select(F.col("gram").alias("__gram"), "total").hint("shuffle_hash"), F.col("gram") == F.col("__gram")).select("block", "gram", "total")
+    """(block, gram, total) of the grams that several blocks have. The window is the count
+    table joined to the rows that it sums, in one pass over their partition."""
+    by = W.partitionBy("gram")
+    counted = asked.repartition(parts, "gram").select("block", "gram", F.sum("n").over(by).alias("total"), F.count("*").over(by).alias("blocks"))
+    return counted.where("blocks > 1").select("block", "gram", "total")
 
 
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -153,12 +166,13 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_
     sizes = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(1, -(-sizes.n // block_docs), -(-(sizes.bytes or 0) // BLOCK_BYTES))
     parts = min(blocks, max(2 * store.partitions(spark), -(-blocks // BLOCKS_A_PART)))
-    dealt = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
-    dealt = dealt.repartition(parts, "block").groupBy("block")
-    answers = store.table(_answers(dealt.applyInArrow(_ask(1), ASKED), parts), "answers")
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(blocks)).cast("int").alias("block"))
+    dealt = dealt.mapInArrow(_pack, PACKED).repartition(parts, "block").groupBy("block")
+    found = [store.table(_answers(dealt.applyInArrow(_ask(1), ASKED), parts), "answers")]
     for n in range(2, order + 1):
-        asked = dealt.cogroup(answers.groupBy("block")).applyInArrow(_ask(n), ASKED)
-        answers = answers.unionByName(store.table(_answers(asked, parts), "answers"))
+        asked = dealt.cogroup(found[-1].groupBy("block")).applyInArrow(_ask(n), ASKED)
+        found.append(store.table(_answers(asked, parts), "answers"))
+    answers = reduce(DataFrame.unionByName, found)
     sums = store.table(dealt.cogroup(answers.groupBy("block")).applyInArrow(_score(order, backoff), SUMS), "sums")
     total = sums.agg(F.sum("n_words")).first()[0] or 0
     mean = (F.col("logs") - F.col("n_unigrams") * F.log10(F.greatest(F.lit(total) - F.col("n_words"), F.lit(1)))) / F.col("n_words")

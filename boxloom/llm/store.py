@@ -68,8 +68,9 @@ TASK_ROWS = 50_000
 
 
 def fitted(df: DataFrame, rows: int) -> DataFrame:
-    """df, which comes out of a shuffle, in as many tasks as that many rows are worth:
-    the many shuffle partitions of a large cluster would make each small step slow."""
+    """df, the aggregate of a shuffle, in as many tasks as that many rows are worth: the
+    many shuffle partitions of a large cluster would make each small step slow. Not for
+    sort-merge joins, whose sorters would all be held by one task."""
     return df.coalesce(max(1, min(partitions(df.sparkSession), -(-rows // TASK_ROWS))))
 
 
