@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import store
+from .codec import trim
 from .wordhash import hash_words, mix
 
 ORDER = 3
 BACKOFF = 0.4
 BLOCK_DOCS = 4096
 #: Bytes of text of a block on average at most.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 8 << 20
 #: Blocks whose rows a partition of the count table takes on average at most.
 BLOCKS_A_PART = 8
 ODD = np.uint64(0xD1342543DE82EF95)
@@ -125,6 +126,8 @@ def _ask(n: int):
         if texts.num_rows:
             block = Block(texts, answers)
             *_, grams, counts = block.count(n, block.outside(n - 1) if n > 1 else None)
+            del block
+            trim()
         kinds = (pa.int64(), pa.int32(), pa.int32())
         return pa.table([pa.array(c, kind) for c, kind in zip((grams, np.full(len(grams), key[0].as_py()), counts), kinds)], names=["gram", "block", "n"])
 
@@ -141,6 +144,8 @@ def _score(order: int, backoff: float):
         block = Block(texts, answers)
         logs, single = block.logs(order, backoff)
         sums = (np.diff(block.offsets), np.bincount(block.owner, single, texts.num_rows), np.bincount(block.owner, logs, texts.num_rows))
+        del block
+        trim()
         return pa.table([texts.column("doc_id").cast(kinds[0]), *(pa.array(np.asarray(x), pa.float64()).cast(k) for x, k in zip(sums, kinds[1:]))], names=names)
 
     return score
