@@ -44,7 +44,7 @@ BANDS, ROWS = 20, 5
 #: Of a signature's registers, the share that must agree for a pair to be verified: five standard deviations below SIMILARITY.
 LIKELY = 0.6
 #: Rows and bytes of text on either side of a cell, on average at most.
-BLOCK, BLOCK_BYTES = 1024, 16 << 20
+BLOCK, BLOCK_BYTES = 512, 16 << 20
 #: A key of more rows than this, and than one in HOT_SHARE of all, is joined by broadcast: there are at most HOT_SHARE of them.
 HOT_ROWS, HOT_SHARE = 1024, 50_000
 
