@@ -83,6 +83,6 @@ def valid_box(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     return (xmax > xmin) & (ymax > ymin)
 
 
-def require(ok: Column, value: Column, message: str) -> Column:
+def require(ok: Column, value: Column, message: str, kind: str = "bigint") -> Column:
     """value where ok holds; the query fails with the message where it does not."""
-    return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast("bigint"))
+    return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast(kind))

@@ -102,6 +102,26 @@ def guess_charset(content: pd.Series) -> pd.Series:
     return pd.Series([guess(c) if c is not None else None for c in content], dtype=object)
 
 
+#: Names of encodings in declarations that stand for a larger one.
+WIDER = {"GB2312": "gb18030", "GBK": "gb18030", "ISO-8859-1": "cp1252", "ASCII": "utf-8", "US-ASCII": "utf-8", "UTF-16LE": "utf-16-le", "UTF-16BE": "utf-16-be"}
+
+
+@F.pandas_udf(T.StringType())
+def decoded(content: pd.Series, charset: pd.Series) -> pd.Series:
+    """The text of content in its charset, without a byte order mark; null for what does
+    not decode or has a charset that is not known."""
+
+    def text(data: bytes, code: str) -> str | None:
+        if data is None or code is None:
+            return None
+        try:
+            return data.decode(WIDER.get(code.upper(), code)).removeprefix("\ufeff")
+        except (UnicodeDecodeError, LookupError):
+            return None
+
+    return pd.Series([text(d, c) for d, c in zip(content, charset)], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def float_text(value: pd.Series) -> pd.Series:
     """Shortest text of a double as Python writes it (1e-05), which SQL writes otherwise."""

@@ -47,10 +47,10 @@ def full_digest(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def sampled_digest(content: Column, threshold: int = 0) -> Column:
-    """Of 4096 bytes at the start, the middle (over 8192 bytes) and the end (over 12288);
+def sampled_digest(content: Column, threshold: int = 0, kind: str = "string") -> Column:
+    """kind: string counts characters, binary bytes. Of 4096 of them at the start, the middle (over 8192) and the end (over 12288);
     of everything up to the threshold. Different files may agree: that is the speed it buys."""
-    size, none = F.length(content), F.lit("").cast(content_type(content))
+    size, none = F.length(content), F.lit("").cast(kind)
     part = F.concat(
         F.substring(content, 1, 4096),
         F.when(size > 8192, F.substring(content, (F.floor(size / 2) - 2047).cast("int"), F.lit(4096))).otherwise(none),
@@ -59,11 +59,6 @@ def sampled_digest(content: Column, threshold: int = 0) -> Column:
     return F.sha2(F.when(size > threshold, part).otherwise(content), 256)
 
 
-def content_type(content: Column) -> str:
-    """sampled_digest works on text by characters and on bytes; text is the default."""
-    return "binary" if "content" in str(content) else "string"
-
-
 def magic_format(head: Column) -> Column:
     """Image format by its first bytes, null for none. head: at least 12 bytes."""
     starts = lambda x: F.substring(F.hex(head), 1, len(x)) == x
@@ -71,11 +66,17 @@ def magic_format(head: Column) -> Column:
         F.when(starts("FFD8"), "jpeg")
         .when(starts("89504E470D0A1A0A"), "png")
         .when(starts("474946383761") | starts("474946383961"), "gif")
-        .when(starts("49492A00") | starts("4D4D002A"), "tiff")
+        .when(starts("4949") | starts("4D4D"), "tiff")
         .when(starts("424D"), "bmp")
         .when(starts("52494646") & (F.substring(F.hex(head), 17, 8) == "57454250"), "webp")
     )
 
 
+def relative(path: Column, folder: str) -> Column:
+    """path below folder, or the path as it is if it is not below it."""
+    root = folder.rstrip("/") + "/"
+    return F.when(path.startswith(root), F.substring(path, F.lit(len(root) + 1), F.length(path))).otherwise(path)
+
+
 def megabytes(size: Column) -> Column:
     return F.round(size / (1024.0 * 1024.0), 2)

@@ -7,13 +7,12 @@ in one array column `object`.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import boxes, names
+from ..sources.workdir import shared_dir
 
 #: Classes that the labelling-tool export leaves out, and those the co-occurrence filter wants.
 DENIED = ("mask", "helmet", "hline", "head", "face")
@@ -38,8 +37,16 @@ def filter_nested(docs: DataFrame, wanted: list[str]) -> DataFrame:
 
 
 def trainable(objects: DataFrame, wanted: list[str]) -> DataFrame:
-    """Wanted classes that are not difficult; a missing flag is 0."""
-    return objects.where(F.col("name").isin(list(wanted)) & (F.coalesce(F.col("difficult"), F.lit(0)).cast("int") != 1))
+    """Wanted classes that are not difficult; a missing flag is 0. A flag that is there but
+    is no number ends its image: that row and those after it go. Without obj_ord, only
+    the row goes."""
+    flag = F.coalesce(F.col("difficult").cast("string"), F.lit("0"))
+    number = boxes.strip(flag).try_cast("int")
+    rows = objects.withColumn("__flag", number)
+    if dict(objects.dtypes)["difficult"] == "string" and "obj_ord" in objects.columns:
+        broken = rows.where("__flag IS NULL").groupBy(F.col("image_key").alias("__key")).agg(F.min("obj_ord").alias("__end"))
+        rows = rows.join(broken, F.col("image_key").eqNullSafe(F.col("__key")), "left").where("__end IS NULL OR obj_ord < __end")
+    return rows.where(F.col("name").isin(list(wanted)) & (F.col("__flag") != 1)).select(*objects.columns)
 
 
 def cooccurring(objects: DataFrame, needed: list[str], rider: str = "person") -> DataFrame:
@@ -58,6 +65,13 @@ def split_valid(objects: DataFrame, origin: int = 0, integer: bool = False) -> t
     return objects.where(ok), objects.where(~ok)
 
 
+def require_valid(objects: DataFrame, origin: int = 0, integer: bool = False) -> DataFrame:
+    """objects; a box without extent, compared after the origin's shift, fails the query."""
+    box = boxes.corners_to_coco(*(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")), origin, integer)
+    ok = F.coalesce((box["w"] > 0) & (box["h"] > 0), F.lit(False))
+    return objects.withColumn("obj_ord", boxes.require(ok, F.col("obj_ord"), "a box has no extent"))
+
+
 # Joins
 
 
@@ -73,8 +87,11 @@ def with_category(objects: DataFrame, categories: DataFrame, strict: bool = Fals
 
 
 def with_name(annotations: DataFrame, categories: DataFrame, default: str | None = None) -> DataFrame:
-    """annotations with the name of category_id, the first where it is listed twice."""
-    rows = annotations.join(categories.groupBy("category_id").agg(F.min("name").alias("name")), "category_id", "left")
+    """annotations with the name of category_id, the first listed where it is listed twice:
+    at the least `pos` if categories have one, else in the order of their rows."""
+    at = F.col("pos") if "pos" in categories.columns else F.monotonically_increasing_id()
+    known = categories.select("category_id", "name", at.alias("__at")).groupBy("category_id").agg(F.min_by("name", "__at").alias("name"))
+    rows = annotations.join(known, "category_id", "left")
     return rows if default is None else rows.withColumn("name", F.coalesce("name", F.lit(default)))
 
 
@@ -94,10 +111,20 @@ def empty_documents(images: DataFrame) -> DataFrame:
 
 
 def merge_documents(left: DataFrame, right: DataFrame, key: str = "image_key") -> DataFrame:
-    """left's documents with right's objects after their own; right's other documents go."""
+    """left's documents with right's objects after their own; right's other documents go.
+    The header is left's, but a depth becomes 3."""
     other = right.select(key, F.col("object").alias("__more"))
     joined = left.join(other, key, "left")
-    return joined.withColumn("object", F.concat("object", F.coalesce("__more", F.array().cast(left.schema["object"].dataType)))).drop("__more")
+    return joined.withColumn("object", F.concat("object", F.coalesce("__more", F.array().cast(left.schema["object"].dataType)))).drop("__more").withColumns({"depth": F.lit(3)} if "depth" in left.columns else {})
+
+
+def listed_name(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """rows (image_key, file_name) with the listed name (stem, name, pos) of the image where
+    the recorded one ends in .xml: of equal stems the last listed; none leaves it as it is."""
+    last = listed.groupBy(F.col("stem").alias("__stem")).agg(F.max_by("name", "pos").alias("__name"))
+    own = rows.join(last, F.col("image_key") == F.col("__stem"), "left")
+    name = F.when(F.col("file_name").endswith(".xml"), F.coalesce("__name", "file_name")).otherwise(F.col("file_name"))
+    return own.withColumn("file_name", name).drop("__stem", "__name")
 
 
 def pick_image(texts: DataFrame, images: DataFrame, order: tuple[str, ...] = (".jpg", ".jpeg", ".png")) -> DataFrame:
@@ -111,10 +138,10 @@ def pick_image(texts: DataFrame, images: DataFrame, order: tuple[str, ...] = (".
 
 
 def with_checkpoints(spark: SparkSession) -> None:
-    """Sets a checkpoint folder if the session has none: spark.checkpoint.dir, or else one of its own."""
+    """Sets a checkpoint folder if the session has none, in the shared folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="boxloom-"))
+        context.setCheckpointDir(shared_dir(spark))
 
 
 def numbered(rows: DataFrame, order: list[str], column: str, start: int = 1, parts: int | None = None) -> DataFrame:
@@ -158,7 +185,10 @@ def split_points(n: Column, parts: list[float]) -> list[Column]:
 
 
 def split_by_share(images: DataFrame, key: str, shares: dict[str, float], seed: int = 0, order: Column | None = None) -> DataFrame:
-    """images with `split`: a seeded order by digest is cut at the shares of the count."""
+    """images with `split`: a seeded order by digest is cut at the shares of the count.
+
+    order, a column, cuts the listing order instead. What is left over by rounding is in
+    the last split, also where its share is 0: no image is lost."""
     if abs(sum(shares.values()) - 1) > 1e-5 or any(s < 0 for s in shares.values()):
         raise ValueError("shares are at least 0 and sum to 1")
     ordered = images.withColumn("__o", order if order is not None else F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
@@ -172,6 +202,12 @@ def split_by_share(images: DataFrame, key: str, shares: dict[str, float], seed:
     return rows.withColumn("split", split).drop("__o", "__r", "__n")
 
 
+def split_totals(images: DataFrame) -> DataFrame:
+    """One row for each split (n of total)."""
+    counts = images.groupBy("split").agg(F.count("*").alias("n"))
+    return counts.crossJoin(F.broadcast(images.agg(F.count("*").alias("total"))))  # one row
+
+
 def append_lists(base: DataFrame, more: DataFrame) -> DataFrame:
     """All rows of both, repeats kept."""
     return base.unionByName(more)

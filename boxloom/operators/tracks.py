@@ -24,14 +24,14 @@ def steps(tracks: DataFrame, lines: DataFrame) -> DataFrame:
     rows = tracks.select("camera_id", "seq", "pid", F.col("cx").cast("int").alias("mx"), F.col("cy").cast("int").alias("my"))
     rows = rows.withColumns({"px": F.coalesce(F.lag("mx").over(by), F.col("mx")), "py": F.coalesce(F.lag("my").over(by), F.col("my")), "__last": F.lag("seq").over(by)})
     count = lines.groupBy("camera_id").agg(F.count("*").alias("__lines"))
-    rows = rows.join(F.broadcast(count), "camera_id")  # one row for each camera, as lines itself is drawn by hand
+    rows = rows.join(count, "camera_id")
     new = F.col("__last").isNull() | ((F.col("seq") - F.col("__last") - 1) * F.col("__lines") >= WINDOW)
     return rows.withColumn("session", F.sum(new.cast("int")).over(by)).drop("__last", "__lines")
 
 
 def hits(moves: DataFrame, lines: DataFrame) -> DataFrame:
     """Steps joined with each line of their camera that they cross, and the direction."""
-    rows = moves.join(F.broadcast(lines), "camera_id")
+    rows = moves.join(lines, "camera_id")  # broadcast by the planner while its size allows
     mid, before = (F.col("mx"), F.col("my")), (F.col("px"), F.col("py"))
     a, b = (F.col("ax"), F.col("ay")), (F.col("bx"), F.col("by"))
     x, y = g.cross_point(a, b, mid, before)

@@ -11,9 +11,11 @@ from ..functions import boxes as B
 from ..functions import geometry as G
 from ..functions import names as N
 from ..operators import annotations as A
+from ..operators import conversions as C
 from ..operators import dedup as D
 from ..operators import tracks as T
-from ..sources import readers, writers
+from ..sources import readers, workdir, writers
+from ..streaming import lines as L
 from . import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +44,19 @@ def named(made: dict, *names: str):
     return [made[n].alias(n) for n in names or made]
 
 
+def _voc_docs(s, d):
+    """(image_key, xml): the objects of each image as a VOC document."""
+    docs = A.nest(V.objects(s, d)).join(V.images(s, d), "image_key").withColumns({"file_name": F.concat(F.col("image_key").cast("string"), F.lit(".jpg")), "path": F.lit(None).cast("string"), "depth": F.lit(3)})
+    return docs.select("image_key", writers.voc_xml().alias("xml"))
+
+
+def _written(s, rows, name="name"):
+    """The folder in which each row's value is a file."""
+    folder = workdir.fresh_dir(s, "files")
+    writers.write_files(rows.repartition(16), folder, name).agg(F.sum("bytes")).collect()
+    return folder
+
+
 # Statistics
 
 
@@ -186,12 +201,14 @@ def invalid_boxes(s, d):
     return A.split_valid(V.objects(s, d), 1, True)[1].select(*ID)
 
 
-@query("SELECT image_key, count(*) AS n FROM objects WHERE obj_ord % 3 <> 0 GROUP BY image_key")
+@query("SELECT image_key, n, image_key % 5 = 0 AS rejected FROM (SELECT image_key, count(*) AS n FROM objects GROUP BY image_key) WHERE image_key % 5 <> 0 UNION ALL SELECT image_key, 0, true FROM (SELECT DISTINCT image_key FROM objects) WHERE image_key % 5 = 0")
 def parse_failures_skipped(s, d):
-    """Text that is no number drops its row, as a malformed line does."""
-    text = F.when(F.col("obj_ord") % 3 == 0, "x").otherwise(F.col("xmin").cast("string"))
-    rows = V.objects(s, d).withColumn("v", text.try_cast("double")).where("v IS NOT NULL")
-    return rows.groupBy("image_key").agg(F.count("*").alias("n"))
+    """Documents that are cut short are rejected, and give no objects."""
+    docs = _voc_docs(s, d)
+    whole = docs.withColumn("xml", F.when(F.col("image_key") % 5 == 0, F.substring("xml", F.lit(1), (F.length("xml") / 2).cast("int"))).otherwise(F.col("xml")))
+    parsed = readers.parse_voc(whole.select(F.concat(F.lit("/x/"), F.col("image_key").cast("string"), F.lit(".xml")).alias("src_path"), "xml"))
+    key = N.digits(N.basename(F.col("src_path"))).alias("image_key")
+    return parsed.select(key, F.when(F.col("corrupt").isNull(), F.size("object")).otherwise(0).cast("bigint").alias("n"), F.col("corrupt").isNotNull().alias("rejected"))
 
 
 # Joins and sets
@@ -382,29 +399,33 @@ def defaulted_numbers(s, d):
 # Formats: written as text and parsed again
 
 
-@query("SELECT image_key, obj_ord, name, xmin, ymin, xmax, ymax FROM objects")
+@query("SELECT i.image_key AS image_id, o.obj_ord, o.name, xmin AS x, ymin AS y, xmax - xmin AS w, ymax - ymin AS h, i.width::DOUBLE AS width FROM images i JOIN objects o USING (image_key)")
 def coco_json_roundtrip(s, d):
-    docs = A.nest(V.objects(s, d)).withColumn("value", F.to_json(F.struct("object")))
-    kind = "object array<struct<name:string,xmin:double,ymin:double,xmax:double,ymax:double>>"
-    rows = A.unnest(docs.select("image_key", F.from_json("value", kind)["object"].alias("object")))
-    return rows.withColumn("obj_ord", F.col("obj_ord").cast("bigint"))
+    """The data set is written as one document and read again."""
+    rows, folder = V.objects(s, d), workdir.fresh_dir(s, "coco")
+    box = B.corners_to_coco(*cols(*CORNERS), 0, False)
+    made = A.with_category(rows, V.categories(s)).select((F.col("image_key") * 1000 + F.col("obj_ord")).alias("id"), F.col("image_key").alias("image_id"), "category_id", *C.annotation_record(box))
+    images = V.images(s, d).select(F.col("image_key").alias("id"), F.concat(F.col("image_key").cast("string"), F.lit(".jpg")).alias("file_name"), "width", "height")
+    writers.write_coco({"images": images, "annotations": made, "categories": C.category_records(V.categories(s))}, folder)
+    data = readers.coco(s, folder)
+    names = data["categories"].select(F.col("id").alias("category_id"), "name")
+    back = A.with_name(data["annotations"], names).join(data["images"].select(F.col("id").alias("image_id"), "width"), "image_id")
+    return back.select("image_id", (F.col("id") % 1000).alias("obj_ord"), "name", *(F.get("bbox", k).alias(c) for k, c in enumerate("xywh")), "width")
 
 
 @query("SELECT image_key, obj_ord, name, width::INT AS width, round_even(xmin, 0)::INT AS xmin, round_even(ymin, 0)::INT AS ymin, round_even(xmax, 0)::INT AS xmax, round_even(ymax, 0)::INT AS ymax FROM objects JOIN images USING (image_key)")
 def voc_xml_roundtrip(s, d):
-    docs = A.nest(V.objects(s, d)).join(V.images(s, d), "image_key").withColumns({"file_name": F.concat(F.col("image_key").cast("string"), F.lit(".jpg")), "path": F.lit(None).cast("string"), "depth": F.lit(3)})
-    parsed = readers.parse_voc(docs.select(F.concat(F.lit("/x/"), F.col("image_key").cast("string"), F.lit(".xml")).alias("src_path"), writers.voc_xml().alias("xml")))
+    parsed = readers.parse_voc(_voc_docs(s, d).select(F.concat(F.lit("/x/"), F.col("image_key").cast("string"), F.lit(".xml")).alias("src_path"), "xml"))
     sizes = readers.voc_images(parsed).select("image_key", "width")
     rows = readers.voc_objects(parsed).join(sizes, "image_key")
     return rows.select(F.col("image_key").cast("bigint").alias("image_key"), F.col("obj_ord").cast("bigint").alias("obj_ord"), "name", "width", *(F.col(c).cast("int").alias(c) for c in CORNERS))
 
 
-@query(_YOLO + "SELECT image_key, row_number() OVER (PARTITION BY image_key ORDER BY obj_ord) - 1 AS line_no, class_id, cx, w FROM y")
+@query(_YOLO + "SELECT image_key, row_number() OVER (PARTITION BY image_key ORDER BY obj_ord) - 1 AS line_no, class_id, cx, cy, w, h FROM y")
 def yolo_parse(s, d):
-    rows = _yolo(s, d).select(*ID, F.concat_ws(" ", *(F.col(c).cast("string") for c in ("class_id", "cx", "cy", "w", "h"))).alias("line"))
-    texts = rows.groupBy("image_key").agg(F.array_sort(F.collect_list(F.struct("obj_ord", "line"))).alias("a"))
-    texts = texts.select(F.col("image_key").alias("stem"), F.concat(F.array_join(F.transform("a", lambda x: x["line"]), "\n"), F.lit("\nbroken line\n1 2 3 4\nx y z 1 2\n")).alias("value"))
-    return readers.parse_yolo(texts).select(F.col("stem").alias("image_key"), F.col("line_no").cast("bigint").alias("line_no"), F.col("class_id").cast("bigint").alias("class_id"), "cx", "w")
+    """Written by the library, with broken lines after each text, and parsed again."""
+    texts = writers.yolo_text(_yolo(s, d)).select(F.col("image_key").alias("stem"), F.concat("value", F.lit("broken line\n1 2 3 4\nx y z 1 2\n")).alias("value"))
+    return readers.parse_yolo(texts).select(F.col("stem").alias("image_key"), F.col("line_no").cast("bigint").alias("line_no"), F.col("class_id").cast("bigint").alias("class_id"), "cx", "cy", "w", "h")
 
 
 @query("SELECT image_key, 1::BIGINT AS record, concat('img', image_key, '.jpg') AS file_name, (obj_ord - 1)::INT AS face, trunc(xmin)::INT AS x, trunc(ymin)::INT AS y, obj_ord::INT AS pose FROM objects")
@@ -427,3 +448,205 @@ def detector_results(s, d):
 @query("SELECT count(*) FILTER (xmax > xmin) AS succeeded, count(*) FILTER (NOT xmax > xmin) AS failed FROM objects")
 def conversion_totals(s, d):
     return A.outcome(V.objects(s, d, False), F.col("xmax") > F.col("xmin"))
+
+
+# Whole conversions, from files to files
+
+
+def _annotations(data, *more):
+    rows = data["annotations"].join(data["images"].select(F.col("id").alias("image_id"), "file_name", "width"), "image_id")
+    return rows.select("id", "file_name", F.col("width").cast("bigint").alias("width"), "category_id", "area", *(F.get("bbox", k).alias(c) for k, c in enumerate("xywh")), *more)
+
+
+def _through_file(s, data):
+    """The data set as it is read from the file that it is written to."""
+    return readers.coco(s, writers.write_coco(data, workdir.fresh_dir(s, "coco")))
+
+
+@query(
+    """, b AS (SELECT image_key, obj_ord, name, round_even(xmin, 0)::BIGINT - 1 AS x, round_even(ymin, 0)::BIGINT - 1 AS y, round_even(xmax, 0)::BIGINT AS x2, round_even(ymax, 0)::BIGINT AS y2 FROM objects),
+g AS (SELECT * FROM b WHERE x2 > x AND y2 > y)
+SELECT row_number() OVER (ORDER BY image_key::VARCHAR, k) AS id, concat(image_key, '.jpg') AS file_name, width, category_id::BIGINT AS category_id, ((x2 - x) * (y2 - y))::DOUBLE AS area, x::DOUBLE AS x, y::DOUBLE AS y, (x2 - x)::DOUBLE AS w, (y2 - y)::DOUBLE AS h, 0 AS iscrowd, 0 AS "ignore"
+FROM (SELECT *, row_number() OVER (PARTITION BY image_key ORDER BY obj_ord) AS k FROM g) JOIN images USING (image_key) JOIN categories USING (name)"""
+)
+def voc_to_coco_files(s, d):
+    """VOC files, without the boxes that have no extent, to one COCO file."""
+    round_ = {c: F.bround(c, 0) for c in CORNERS}
+    rows = A.split_valid(V.objects(s, d).withColumns(round_), 1, True)[0]
+    docs = A.nest(rows).join(V.images(s, d), "image_key").withColumns({"file_name": F.lit("other.jpg"), "path": F.lit("/data/other.jpg"), "depth": F.lit(3)})
+    folder = _written(s, docs.select(F.concat(F.col("image_key").cast("string"), F.lit(".xml")).alias("name"), writers.voc_xml().alias("value")))
+    data = C.voc_to_coco(readers.voc(s, folder, None), V.categories(s))
+    return _annotations(_through_file(s, data), "iscrowd", "ignore")
+
+
+_SHAPES = """, sh AS (SELECT *, row_number() OVER (ORDER BY lpad(image_key::VARCHAR, 12, '0'), obj_ord) AS id FROM objects),
+first AS (SELECT name, min(id) AS f FROM sh GROUP BY name), cat AS (SELECT name, row_number() OVER (ORDER BY f) AS category_id FROM first)
+"""
+
+
+def _labelme(s, d, circles=True):
+    """Each object as a rectangle with swapped corners; a circle where it is difficult."""
+    point = lambda x, y: F.array(F.col(x).cast("double"), F.col(y).cast("double"))
+    kind = F.when((F.col("difficult") == 1) & F.lit(circles), "circle").otherwise("rectangle")
+    shape = F.struct(F.col("name").alias("label"), kind.alias("shape_type"), F.array(point("xmax", "ymax"), point("xmin", "ymin")).alias("points"))
+    rows = V.objects(s, d).select("image_key", "obj_ord", shape.alias("shape")).groupBy("image_key").agg(F.array_sort(F.collect_list(F.struct("obj_ord", "shape"))).alias("a"))
+    rows = rows.join(V.images(s, d), "image_key").withColumn("shapes", F.transform("a", lambda x: x["shape"]))
+    doc = F.to_json(F.struct(F.col("height").alias("imageHeight"), F.col("width").alias("imageWidth"), F.concat(F.lit("d\\"), F.col("image_key").cast("string"), F.lit(".jpg")).alias("imagePath"), "shapes"))
+    return rows.select(F.concat(F.lpad(F.col("image_key").cast("string"), 12, "0"), F.lit(".json")).alias("name"), doc.alias("value"))
+
+
+@query(_SHAPES + "SELECT id, concat(image_key, '.jpg') AS file_name, width, category_id, (abs(xmax - xmin) * abs(ymax - ymin)) AS area, least(xmin, xmax) AS x, least(ymin, ymax) AS y, abs(xmax - xmin) AS w, abs(ymax - ymin) AS h, 'component' AS supercategory FROM sh JOIN images USING (image_key) JOIN cat USING (name) WHERE difficult <> 1")
+def labelme_to_coco(s, d):
+    """LabelMe files to one COCO file: circles have no row but use up their ids."""
+    data = _through_file(s, C.shapes_to_coco(readers.labelme(s, _written(s, _labelme(s, d)))))
+    above = data["categories"].select(F.col("id").alias("category_id"), "supercategory")
+    return _annotations(data).join(above, "category_id")
+
+
+@query(
+    _SHAPES
+    + """, g AS (SELECT *, abs(l_x2 - l_x) AS w, abs(l_y2 - l_y) AS h FROM (SELECT *, trunc(least(xmin, width - 1)) AS l_x, trunc(least(ymin, height - 1)) AS l_y, least(trunc(least(xmin, width - 1)) + 20 * obj_ord, width - 1) AS l_x2, least(trunc(least(ymin, height - 1)) + 10, height - 1) AS l_y2 FROM sh JOIN images USING (image_key)))
+SELECT id, concat(lpad(image_key::VARCHAR, 12, '0'), '.png') AS file_name, width, category_id, w * h AS area, l_x AS x, l_y AS y, w, h FROM g JOIN cat USING (name)"""
+)
+def cityscapes_to_coco(s, d):
+    """Cityscapes files, whose polygons reach over the image's edge, to one COCO file by their painted pixels."""
+    x, y = F.least(F.col("xmin"), F.col("width") - 1).cast("int"), F.least(F.col("ymin"), F.col("height") - 1).cast("int")
+    x2, y2 = x + 20 * F.col("obj_ord"), y + 10
+    point = lambda a, b: F.array(a.cast("double"), b.cast("double"))
+    shape = F.struct(F.col("name").alias("label"), F.array(point(x, y), point(x2, y), point(x2, y2), point(x, y2)).alias("polygon"))
+    rows = V.objects(s, d).join(V.images(s, d), "image_key").select("image_key", "width", "height", "obj_ord", shape.alias("shape"))
+    rows = rows.groupBy("image_key").agg(F.first("width").alias("w"), F.first("height").alias("h"), F.array_sort(F.collect_list(F.struct("obj_ord", "shape"))).alias("a"))
+    doc = F.to_json(F.struct(F.col("h").alias("imgHeight"), F.col("w").alias("imgWidth"), F.transform("a", lambda v: v["shape"]).alias("objects")))
+    stem = F.lpad(F.col("image_key").cast("string"), 12, "0")
+    folder = _written(s, rows.select(F.concat(stem, F.lit(".json")).alias("name"), doc.alias("value")))
+    listed = V.objects(s, d, False).select("image_key").distinct().select(stem.alias("stem"), F.concat(stem, F.lit(".png")).alias("file_name"))
+    shapes = readers.cityscapes(s, folder, listed)
+    return _annotations(_through_file(s, C.shapes_to_coco(shapes, listed)))
+
+
+@query(
+    _YOLO
+    + """, k2 AS (SELECT *, row_number() OVER (PARTITION BY image_key ORDER BY obj_ord) AS obj FROM y)
+SELECT image_key, obj AS obj_ord, CASE class_id WHEN 0 THEN 'A' ELSE 'unknown' END AS name, concat(image_key, CASE WHEN image_key % 2 = 0 THEN '.jpg' ELSE '.png' END) AS file_name, width::INT AS width,
+greatest(0, trunc(cx * width - w * width / 2)::INT) AS xmin, greatest(0, trunc(cy * height - h * height / 2)::INT) AS ymin, least(width - 1, trunc(cx * width + w * width / 2)::INT)::INT AS xmax, least(height - 1, trunc(cy * height + h * height / 2)::INT)::INT AS ymax FROM k2"""
+)
+def yolo_to_voc_files(s, d):
+    """YOLO texts to VOC files; of two images with one stem the .jpg counts."""
+    texts = writers.yolo_text(_yolo(s, d), V.images(s, d))
+    folder = _written(s, texts.select(F.concat(F.col("image_key").cast("string"), F.lit(".txt")).alias("name"), "value"))
+    files = V.images(s, d).select(F.col("image_key").cast("string").alias("stem"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), F.lit(3).alias("depth"), F.explode(F.when(F.col("image_key") % 2 == 0, F.array(F.lit(".png"), F.lit(".jpg"))).otherwise(F.array(F.lit(".png")))).alias("ext"))
+    classes = s.createDataFrame([("0", "A")], "class_id string, name string")
+    docs = C.yolo_to_voc(readers.yolo(s, folder), files.select("stem").distinct(), files, classes)
+    again = readers.voc(s, _written(s, docs.select(F.concat("stem", F.lit(".xml")).alias("name"), writers.element_voc_xml().alias("value"))))
+    rows = readers.voc_objects(again).join(readers.voc_images(again).select("image_key", "file_name", "width"), "image_key")
+    return rows.select(F.col("image_key").cast("bigint").alias("image_key"), F.col("obj_ord").cast("bigint").alias("obj_ord"), "name", "file_name", "width", *(F.col(c).cast("int").alias(c) for c in CORNERS))
+
+
+@query(
+    """, f AS (SELECT *, row_number() OVER (ORDER BY image_key, obj_ord) AS id FROM objects WHERE image_key % 4 <> 0)
+SELECT id, (image_key)::BIGINT AS image_id, concat('img/', image_key, '.jpg') AS file_name, trunc(xmin)::DOUBLE AS x, trunc(ymin)::DOUBLE AS y, 3.0::DOUBLE AS w, 4.0::DOUBLE AS h, 12.0::DOUBLE AS area, obj_ord::INT AS pose, 0::BIGINT AS category_id FROM f"""
+)
+def wider_to_coco(s, d):
+    """Face records, of which every fourth image is missing: its record keeps its number."""
+    rows = V.objects(s, d).select(F.col("image_key").alias("record"), F.concat(F.col("image_key").cast("string"), F.lit(".jpg")).alias("file_name"), F.col("obj_ord").cast("int").alias("face"), F.col("xmin").cast("int").alias("x"), F.col("ymin").cast("int").alias("y"), F.lit(3).alias("w"), F.lit(4).alias("h"), *(F.lit(0).alias(c) for c in ("blur", "expression", "illumination", "invalid", "occlusion")), F.col("obj_ord").cast("int").alias("pose"))
+    sizes = V.images(s, d).where("image_key % 4 != 0").select(F.concat(F.col("image_key").cast("string"), F.lit(".jpg")).alias("file_name"), "width", "height")
+    data = C.faces_to_coco(rows, sizes, "img/")
+    found = data["annotations"].join(data["images"].select(F.col("id").alias("image_id"), "file_name"), "image_id")
+    return found.select("id", "image_id", "file_name", *(F.get("bbox", k).alias(c) for k, c in enumerate("xywh")), "area", "pose", "category_id")
+
+
+# Files, formats and lists
+
+
+@query("SELECT image_key, CASE image_key % 7 WHEN 0 THEN 'jpeg' WHEN 1 THEN 'png' WHEN 2 THEN 'gif' WHEN 3 THEN 'tiff' WHEN 4 THEN 'tiff' WHEN 5 THEN 'bmp' END AS format FROM images")
+def magic_bytes(s, d):
+    heads = ["FFD8FFE000104A464946000101", "89504E470D0A1A0A0000000D49", "47494638396100000000000000", "49490000FFFFFFFFFFFFFFFFFF", "4D4D0102030405060708090A0B", "424D0000000000000000000000", "00000000000000000000000000"]
+    return V.images(s, d).select("image_key", N.magic_format(F.unhex(F.get(F.array(*map(F.lit, heads)), (F.col("image_key") % 7).cast("int")))).alias("format"))
+
+
+@query("SELECT image_key, (width % 256 + 1)::INT AS width, (height % 256 + 1)::INT AS height, 3 AS depth FROM images WHERE image_key % 3 <> 0")
+def image_dimensions(s, d):
+    """Sizes from GIF headers, decoded to three channels; what is no image is rejected."""
+    low = lambda c: F.concat(F.lpad(F.hex(F.col(c) % 256 + 1), 4, "0"))
+    flip = lambda c: F.concat(F.substring(low(c), 3, 2), F.substring(low(c), 1, 2))
+    body = F.when(F.col("image_key") % 3 == 0, F.lit("00")).otherwise(F.concat(F.lit("474946383961"), flip("width"), flip("height")))
+    files = V.images(s, d).select(F.col("image_key").cast("string").alias("path"), F.unhex(body).alias("content"))
+    readable, _ = readers.image_sizes(files, 3)
+    return readable.select(F.col("path").cast("bigint").alias("image_key"), "width", "height", "depth")
+
+
+@query("SELECT image_key, split, name, pos FROM (SELECT image_key, CASE WHEN image_key % 2 = 0 THEN 'train' ELSE 'val' END AS split FROM images), (SELECT name, category_id - 1 AS pos FROM categories)")
+def list_files(s, d):
+    """Ids by split and labels by place, through text lists."""
+    ids, labels = workdir.fresh_dir(s, "lists"), workdir.fresh_dir(s, "labels")
+    writers.write_lists(V.images(s, d).withColumn("split", F.when(F.col("image_key") % 2 == 0, "train").otherwise("val")), ids)
+    writers.write_labels(V.objects(s, d, False), labels)
+    rows = None
+    for split in ("train", "val"):
+        own = readers.id_list(s, f"{ids}/split={split}").select(F.col("image_key").cast("bigint").alias("image_key"), F.lit(split).alias("split"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.crossJoin(readers.label_lines(s, labels).select("name", F.col("category_id").alias("pos")))  # three labels
+
+
+@query("SELECT image_key, concat('JPEGImages/', image_key, '.jpg') AS path, width::INT AS width, obj_ord, name, xmin, ymax FROM objects JOIN images USING (image_key)")
+def tool_json_files(s, d):
+    """The labelling tool's documents, written, read and flattened."""
+    docs = A.nest(V.objects(s, d)).join(V.images(s, d), "image_key").withColumn("depth", F.lit(3))
+    folder = _written(s, docs.select(F.concat(F.col("image_key").cast("string"), F.lit(".json")).alias("name"), writers.tool_json().alias("value")))
+    rows = readers.tool(s, folder).select("path", "size.width", F.posexplode("outputs.object").alias("p", "o"))
+    return rows.select(N.digits(F.col("path")).alias("image_key"), "path", "width", (F.col("p") + 1).cast("bigint").alias("obj_ord"), "o.name", "o.bndbox.xmin", "o.bndbox.ymax")
+
+
+@query("SELECT count(*) AS n, '1.0' AS version FROM images")
+def patched_info(s, d):
+    """COCO documents without info get the default one."""
+    docs = V.images(s, d).withColumn("info", F.lit(None).cast("struct<description:string,version:string,year:string,contributor:string,date_created:string>"))
+    return writers.patch_info(docs).groupBy("info.version").agg(F.count("*").alias("n")).select("n", "version")
+
+
+@query("SELECT sha256(text) AS digest, count(*) AS n, string_agg(path, ';' ORDER BY path) AS paths FROM files GROUP BY text HAVING count(*) > 1")
+def dedup_group_paths(s, d):
+    return D.group_paths(V.files(s, d), F.sha2("text", 256)).withColumn("paths", F.array_join("paths", ";"))
+
+
+_STAY = ", g AS (SELECT text, min(path) AS stay FROM files GROUP BY text HAVING count(*) > 1), m AS (SELECT f.path, sha256(f.text) AS digest FROM files f JOIN g ON f.text = g.text WHERE path <> stay)"
+
+
+@query(_STAY + " SELECT path AS src, concat('/dup/', path) AS dst FROM m")
+def dedup_move_relative(s, d):
+    files = V.files(s, d).withColumn("digest", F.sha2("text", 256))
+    return D.manifest(D.ranked(files, "first", "doc_id"), "/src", "/dup")
+
+
+@query(_STAY + ", k AS (SELECT path, concat('/dup/group_', left(digest, 8), '/') AS d, split_part(path, '/', 2) AS b FROM m) SELECT path AS src, concat(d, b) AS dst FROM k")
+def dedup_move_grouped(s, d):
+    files = V.files(s, d).withColumn("digest", F.sha2("text", 256))
+    return D.manifest(D.ranked(files, "first", "doc_id"), "/src", "/dup", grouped=True)
+
+
+@query(_SPLIT + "SELECT split, count(*) AS n, (SELECT count(*) FROM images) AS total FROM sp GROUP BY split")
+def split_totals(s, d):
+    return A.split_totals(_split(s, d))
+
+
+@query("SELECT image_key, CASE WHEN image_key % 3 = 0 THEN concat(image_key, '.png') ELSE concat(image_key, '.bmp') END AS file_name FROM images")
+def listed_image_names(s, d):
+    """A recorded name that ends in .xml is replaced by the listed one, the last of equal stems."""
+    rows = V.images(s, d).select("image_key", F.concat(F.col("image_key").cast("string"), F.when(F.col("image_key") % 3 == 0, ".xml").otherwise(".bmp")).alias("file_name"))
+    key = F.col("image_key").cast("string")
+    listed = V.images(s, d).select(F.col("image_key").alias("stem"), F.explode(F.array(F.struct(F.concat(key, F.lit(".jpg")).alias("name"), F.lit(0).alias("pos")), F.struct(F.concat(key, F.lit(".png")).alias("name"), F.lit(1).alias("pos")))).alias("v")).select("stem", "v.*")
+    return A.listed_name(rows, listed)
+
+
+@query(ORACLES["line_crossing"].removeprefix(V.SQL))
+def line_crossing_stream(s, d):
+    """The counter over the events as a stream, in the order in which they arrive; its last result."""
+    folder = workdir.fresh_dir(s, "stream")
+    V.tracks(s, d).write.parquet(f"{folder}/in")
+    source = s.readStream.schema(V.tracks(s, d).schema).parquet(f"{folder}/in")
+    lines = {"c": [dict(zip(("line", "ax", "ay", "bx", "by"), line)) for line in V.LINES]}
+    counts = L.count_stream(source, lines)
+    keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/out")
+    query_ = counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    query_.awaitTermination()
+    return s.read.parquet(f"{folder}/out").select("line", "up_count", "down_count")

@@ -15,8 +15,8 @@ VOC = (
     f"object array<struct<name:string,pose:string,truncated:string,occluded:string,difficult:string,bndbox:{BOX}>>"
 )
 COCO = (
-    "images array<struct<id:bigint,file_name:string,width:double,height:double>>, "
-    "annotations array<struct<id:bigint,image_id:bigint,category_id:bigint,bbox:array<double>,area:double,iscrowd:int,ignore:int,segmentation:array<array<double>>>>, "
+    "images array<struct<id:string,file_name:string,width:double,height:double>>, "
+    "annotations array<struct<id:bigint,image_id:string,category_id:bigint,bbox:array<double>,area:double,iscrowd:int,ignore:int,segmentation:array<array<double>>>>, "
     "categories array<struct<id:bigint,name:string,supercategory:string>>, info struct<description:string,version:string,year:string,contributor:string,date_created:string>"
 )
 LABELME = "imageHeight int, imageWidth int, imagePath string, shapes array<struct<label:string,shape_type:string,points:array<array<double>>>>"
@@ -35,18 +35,12 @@ def files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool =
 
 
 def voc(spark: SparkSession, path: str, charset: str | None = "UTF-8") -> DataFrame:
-    """One row for each XML file, `corrupt` set for what does not parse. charset None: guessed for each file."""
+    """One row for each XML file, `corrupt` set for what does not parse or decode. charset None: guessed for each file."""
     raw = files(spark, path, "*.xml")
-    text = F.decode("content", charset) if charset else _decode("content", images.guess_charset("content"))
-    return parse_voc(raw.select(F.col("path").alias("src_path"), text.alias("xml")))
-
-
-def _decode(content: str, code):
-    """decode() takes one charset for all rows; the usual ones are told apart by case."""
-    usual = F.decode(content, "UTF-8")
-    for name in ("GB18030", "ISO-8859-1", "UTF-16LE", "UTF-16BE"):
-        usual = F.when(code == name, F.decode(content, name)).otherwise(usual)
-    return usual
+    code = F.lit(charset) if charset else images.guess_charset("content")
+    # the declaration no longer holds for the decoded text
+    text = F.regexp_replace(images.decoded("content", code), r"^\s*<\?xml[^>]*\?>", "")
+    return parse_voc(raw.select(F.col("path").alias("src_path"), F.coalesce(text, F.lit("not decoded")).alias("xml")))
 
 
 def parse_voc(rows: DataFrame) -> DataFrame:
@@ -71,10 +65,17 @@ def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema + ", corrupt string").options(multiLine="true", columnNameOfCorruptRecord="corrupt", recursiveFileLookup="true", pathGlobFilter="*.json").json(path).withColumn("src_path", F.col("_metadata.file_path"))
 
 
-def coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """images, annotations and categories of a COCO file."""
+def coco(spark: SparkSession, path: str, numeric: bool | None = None) -> dict[str, DataFrame]:
+    """images, annotations and categories of a COCO file. Files have image ids as numbers or
+    as text: they are read as text, and made bigint if numeric, or if that is None and a look
+    at the images finds only whole numbers without leading zeros."""
     doc = _json(spark, path, COCO)
-    return {k: doc.select(F.inline(k)) for k in ("images", "annotations", "categories")}
+    data = {k: doc.select(F.inline(k)) for k in ("images", "annotations", "categories")}
+    if numeric is None:
+        numeric = bool(data["images"].agg(F.bool_and(F.col("id").rlike("^(0|[1-9][0-9]{0,17})$"))).first()[0])
+    if not numeric:
+        return data
+    return data | {"images": data["images"].withColumn("id", F.col("id").cast("bigint")), "annotations": data["annotations"].withColumn("image_id", F.col("image_id").cast("bigint"))}
 
 
 def labelme(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +85,13 @@ def labelme(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("src_path", "file_name", "width", "height", "shape_ord", "s.label", "s.shape_type", "s.points", F.col("s.shape_type").isin("polygon", "rectangle").alias("usable"))
 
 
-def cityscapes(spark: SparkSession, path: str) -> DataFrame:
-    doc = _json(spark, path, CITYSCAPES)
-    rows = doc.select("src_path", F.col("imgWidth").alias("width"), F.col("imgHeight").alias("height"), F.posexplode_outer("objects").alias("shape_ord", "s"))
-    return rows.select("src_path", "width", "height", "shape_ord", "s.label", F.lit("polygon").alias("shape_type"), F.col("s.polygon").alias("points"), F.lit(True).alias("usable"))
+def cityscapes(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
+    """A row for each polygon. The document does not name its image: file_name is that of
+    listed (stem, file_name), or null without it."""
+    doc = _json(spark, path, CITYSCAPES).withColumn("stem", names.stem(names.basename(F.col("src_path"))))
+    doc = doc.withColumn("file_name", F.lit(None).cast("string")) if listed is None else doc.join(listed.select("stem", "file_name"), "stem", "left")
+    rows = doc.select("src_path", "file_name", F.col("imgWidth").alias("width"), F.col("imgHeight").alias("height"), F.posexplode_outer("objects").alias("shape_ord", "s"))
+    return rows.select("src_path", "file_name", "width", "height", "shape_ord", "s.label", F.lit("polygon").alias("shape_type"), F.col("s.polygon").alias("points"), F.lit(True).alias("usable"))
 
 
 def tool(spark: SparkSession, path: str) -> DataFrame:
@@ -157,7 +161,10 @@ def path_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.posexplode(F.split(boxes.strip(F.col("value")), r"\s+")).alias("pos", "path"))
 
 
-def image_sizes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable, rejected) of files(): with width, height and depth from the header."""
+def image_sizes(rows: DataFrame, channels: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(readable, rejected) of files(): with width, height and depth from the header.
+    channels: the depth of all images once they are decoded to so many, such as 3."""
     sized = rows.select("path", images.dimensions("content").alias("s")).select("path", "s.*")
+    if channels:
+        sized = sized.withColumn("depth", F.when(F.col("width").isNotNull(), channels))
     return sized.where("width IS NOT NULL"), sized.where("width IS NULL").select("path")

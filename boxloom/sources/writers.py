@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from ..functions import images
 
 
-def voc_xml(database: str = "Unknown") -> Column:
+def voc_xml(database: str = "Unknown", folder: str = "VOC") -> Column:
     """The document of a row (file_name, path, width, height, depth, object) as XML."""
     box = lambda o: F.struct(*(F.bround(o[c].cast("double")).cast("int").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
     objects = F.transform("object", lambda o: F.struct(o["name"].alias("name"), F.lit("Unspecified").alias("pose"), F.lit(0).alias("truncated"), F.lit(0).alias("occluded"), F.lit(0).alias("difficult"), box(o).alias("bndbox")))
     size = F.struct("width", "height", F.col("depth"))
-    return F.to_xml(F.struct(F.col("file_name").alias("filename"), "path", F.struct(F.lit(database).alias("database")).alias("source"), size.alias("size"), F.lit(0).alias("segmented"), objects.alias("object")), {"rowTag": "annotation"})
+    return F.to_xml(F.struct(F.lit(folder).alias("folder"), F.col("file_name").alias("filename"), "path", F.struct(F.lit(database).alias("database")).alias("source"), size.alias("size"), F.lit(0).alias("segmented"), objects.alias("object")), {"rowTag": "annotation"})
 
 
 def minimal_voc_xml() -> Column:
@@ -27,6 +27,61 @@ def minimal_voc_xml() -> Column:
     return F.to_xml(F.struct(F.col("file_name").alias("filename"), F.struct("width", "height", "depth").alias("size"), objects.alias("object")), {"rowTag": "annotation"})
 
 
+def element_voc_xml(folder: str = "VOC_dataset") -> Column:
+    """The short document of a row (file_name, width, height, depth, object): objects with
+    pose, truncated and difficult, but no path, source, segmented or occluded."""
+    box = lambda o: F.struct(*(o[c].cast("int").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
+    objects = F.transform("object", lambda o: F.struct(o["name"].alias("name"), F.lit("Unspecified").alias("pose"), F.lit(0).alias("truncated"), F.lit(0).alias("difficult"), box(o).alias("bndbox")))
+    return F.to_xml(F.struct(F.lit(folder).alias("folder"), F.col("file_name").alias("filename"), F.struct("width", "height", "depth").alias("size"), objects.alias("object")), {"rowTag": "annotation"})
+
+
+def write_coco(data: dict[str, DataFrame], folder: str, info: bool = False) -> str:
+    """The data set as one JSON file below folder, written record by record by one task
+    that never holds more than a batch: the frames are sorted in parallel before. Returns its path."""
+    parts = [(0, '{"images": [', "images", "id"), (1, '], "annotations": [', "annotations", "id"), (2, '], "categories": [', "categories", "id")]
+    head = F.to_json(F.struct(default_info().alias("info"))) if info else F.lit('{"type": "instances"}')
+    lines = data["images"].sparkSession.range(1).select(F.lit(3).alias("part"), F.lit("").alias("at"), F.concat(F.lit("], "), F.substring(head, F.lit(2), F.length(head))).alias("value"))
+    for k, start, name, order in parts:
+        df = data[name]
+        body = df.select(F.lit(k).alias("part"), F.lpad(F.col(order).cast("string"), 24, "0").alias("at"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+        first = df.sparkSession.range(1).select(F.lit(k).alias("part"), F.lit("").alias("at"), F.lit(start).alias("value"))
+        lines = lines.unionByName(body).unionByName(first)
+    ordered = lines.orderBy("part", "at").select("part", "at", "value")
+
+    def comma(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            # a record is followed by a comma, but not the last of its list, which a line of its own closes
+            value, at = batch.column("value"), batch.column("at")
+            yield pa.RecordBatch.from_arrays([batch.column("part"), at, pc.if_else(pc.equal(at, ""), value, pc.binary_join_element_wise(",", value, ""))], names=["part", "at", "value"])
+
+    return _single_file(ordered.mapInArrow(comma, "part int, at string, value string"), folder)
+
+
+def _single_file(ordered: DataFrame, folder: str) -> str:
+    """Sorted lines as one file: the first record of each list loses its comma."""
+    target = f"{folder}/data.json"
+
+    def put(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem
+
+        fs, base = FileSystem.from_uri(target)
+        fs.create_dir(base.rpartition("/")[0], recursive=True)
+        count, opened = 0, True
+        with fs.open_output_stream(base, compression=None) as f:
+            for batch in batches:
+                for at, value in zip(batch.column("at").to_pylist(), batch.column("value").to_pylist()):
+                    f.write((value[1:] if at and opened else value).encode())
+                    opened, count = not at, count + 1
+        yield pa.RecordBatch.from_pydict({"lines": [count]})
+
+    ordered.coalesce(1).mapInArrow(put, "lines bigint").collect()
+    return target
+
+
 def coco_json(image_rows: DataFrame, annotations: DataFrame, categories: DataFrame, info: bool = False, pretty: bool = False) -> DataFrame:
     """One row with the data set as a COCO document. It is one value, as the format asks;
     write the three frames as tables where that is too large."""
@@ -80,13 +135,20 @@ def write_files(rows: DataFrame, folder: str, name: str, value: str = "value") -
     return rows.select(F.col(name).cast("string"), F.col(value).cast("string")).mapInArrow(put, "path string, bytes bigint")
 
 
+def write_labels(objects: DataFrame, folder: str) -> None:
+    """A text list of the classes, one a line, in alphabetical order."""
+    objects.select("name").distinct().orderBy("name").select(F.col("name").alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+
+
 def write_lists(rows: DataFrame, folder: str, by: str = "split", column: str = "image_key", mode: str = "overwrite") -> None:
     """Text lists of a column, a folder for each split; mode append adds to lists."""
     rows.select(by, F.col(column).cast("string").alias("value")).write.mode(mode).partitionBy(by).text(folder)
 
 
 def carry_out(manifest: DataFrame, move: bool = False) -> DataFrame:
-    """Copies or moves each row's src to dst (URIs of one file system); returns (dst, done)."""
+    """Copies or moves each row's src to dst (URIs of one file system); returns (dst, done).
+    A target that exists is never replaced: that row is not done, unless an earlier attempt of
+    the task moved it, so that its source is gone, or copied it, so that both are as long."""
 
     def run(batches):
         import pyarrow as pa
@@ -97,10 +159,15 @@ def carry_out(manifest: DataFrame, move: bool = False) -> DataFrame:
             for src, dst in zip(batch.column("src").to_pylist(), batch.column("dst").to_pylist()):
                 fs, a = FileSystem.from_uri(src)
                 b = FileSystem.from_uri(dst)[1]
-                if fs.get_file_info(a).type == FileType.File:
+                source, target = fs.get_file_info(a), fs.get_file_info(b)
+                if source.type != FileType.File:
+                    done.append(move and target.type == FileType.File)
+                elif target.type != FileType.NotFound:
+                    done.append(not move and target.size == source.size)
+                else:
                     fs.create_dir(b.rpartition("/")[0], recursive=True)
                     (fs.move if move else fs.copy_file)(a, b)
-                done.append(fs.get_file_info(b).type == FileType.File)
+                    done.append(True)
             yield pa.RecordBatch.from_pydict({"dst": batch.column("dst"), "done": done})
 
     return manifest.select("src", "dst").mapInArrow(run, "dst string, done boolean")

@@ -2,7 +2,8 @@
 
 Sessions depend on the updates of all of a camera's tracks, so the camera is the key.
 Updates of one batch are taken in seq order; there is no watermark, as in the batch
-form, and state lasts as long as the query unless the caller sets a time-out.
+form. State lasts as long as the query unless the caller sets a time-out, after which a
+camera that is silent for so long is forgotten, and its counts begin anew.
 """
 
 from __future__ import annotations
@@ -60,18 +61,23 @@ class Counter:
         return int(at < point[k] or (at == point[k] and not point[k] < before[k]))
 
 
-def count_stream(tracks: DataFrame, lines: dict[str, list[dict]]) -> DataFrame:
+def count_stream(tracks: DataFrame, lines: dict[str, list[dict]], timeout_ms: int | None = None) -> DataFrame:
     """A streaming frame of tracks to each camera's totals after each batch (update mode).
 
     lines: per camera a list of {line, ax, ay, bx, by}; a camera without lines counts nothing."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         own = lines.get(str(key[0]), [])
         counter = Counter(own, json.loads(state.get[0]) if state.exists else None)
         frame = pd.concat(list(frames)).sort_values("seq")
         for pid, cx, cy in zip(frame["pid"], frame["cx"], frame["cy"]):
             counter.update(pid, cx, cy)
         state.update((json.dumps(counter.state),))
+        if timeout_ms:
+            state.setTimeoutDuration(timeout_ms)
         yield pd.DataFrame({"camera_id": [str(key[0])] * len(own), "line": [x["line"] for x in own], "up_count": [t[0] for t in counter.state["totals"]], "down_count": [t[1] for t in counter.state["totals"]]})
 
-    return tracks.groupBy("camera_id").applyInPandasWithState(step, OUT, "state string", "update", GroupStateTimeout.NoTimeout)
+    return tracks.groupBy("camera_id").applyInPandasWithState(step, OUT, "state string", "update", GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout)

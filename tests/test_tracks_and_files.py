@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,21 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == counts(T.totals(rows, line_rows))
 
 
+def test_a_stream_takes_a_time_out(spark, tmp_path):
+    rows, _ = frames(spark, [(1, 5.0, 0.0), (1, 5.0, 20.0)], [("l", 0.0, 10.0, 10.0, 10.0)])
+    lines = {"c": [{"line": "l", "ax": 0.0, "ay": 10.0, "bx": 10.0, "by": 10.0}]}
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    got = []
+    source = spark.readStream.schema(TRACK).parquet(str(tmp_path / "in"))
+    query = count_stream(source, lines, 60_000).writeStream.outputMode("update").foreachBatch(lambda b, _: got.append(counts(b))).option("checkpointLocation", str(tmp_path / "state")).start()
+    for _ in range(300):  # with a time-out there are empty batches without end
+        if any(got):
+            break
+        time.sleep(0.1)
+    query.stop()
+    assert [g for g in got if g] == [{"l": (0, 1)}]
+
+
 def test_voc_files_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("a", "a.jpg", None, 64, 48, 3, [("cat", 1.5, 2.5, 9.0, 8.0)]), ("b", "b.jpg", None, 10, 10, 3, [])], "image_key string, file_name string, path string, width int, height int, depth int, object array<struct<name:string,xmin:double,ymin:double,xmax:double,ymax:double>>")
     made = docs.select(F.concat("image_key", F.lit(".xml")).alias("name"), writers.voc_xml().alias("value"))
