@@ -166,7 +166,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     n_pos, n_unl = sizes["positive"], sizes["n"] - sizes["positive"]
     if not n_pos or not n_unl:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
-    top = _counts(sample.where("positive"), None).where(F.col("docs") >= LEAST_DOCS).orderBy(F.desc("docs"), "feature").toPandas()  # bounded by the sample
+    # bounded by the samples
+    top = _counts(sample.where("positive"), None).where(F.col("docs") >= LEAST_DOCS).orderBy(F.desc("docs"), "feature").toPandas()
     in_unl = _counts(sample.where("NOT positive"), top["feature"].tolist()).toPandas().set_index("feature")["docs"]
     p = top["docs"].to_numpy(float) / n_pos
     u = top["feature"].map(in_unl).fillna(0).to_numpy(float) / n_unl
@@ -181,10 +182,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("positive"), pa.array([finder.ids(t) for t in part.column("text").to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "positive", "ids"])
+                found = [np.array(finder.ids(t), np.int32).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("positive"), pa.array(found, pa.binary())], names=["doc_id", "positive", "ids"])
 
-    data = sample.mapInArrow(features, "doc_id bigint, positive boolean, ids array<int>").toPandas().sort_values(["positive", "doc_id"], kind="stable")
-    weights, bias = fit([np.asarray(x) for x in data["ids"]], data["positive"].to_numpy(bool), len(names), prior)
+    data = sample.mapInArrow(features, "doc_id bigint, positive boolean, ids binary").toArrow().sort_by([("positive", "ascending"), ("doc_id", "ascending")])
+    rows = [np.frombuffer(x.as_buffer(), np.int32) for x in data.column("ids")]  # views, no copies
+    weights, bias = fit(rows, data.column("positive").to_numpy(), len(names), prior)
     return Model(names, weights, bias)
 
 
