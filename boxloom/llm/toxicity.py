@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
+from .codec import release, trim
 
 POSITIVES, UNLABELLED = 20_000, 40_000
 LEAST_DOCS, LEAST_GAP = 5, 4.0
@@ -30,7 +31,7 @@ THRESHOLD = 0.3
 STEPS, BATCH, RATE, DECAY = 600, 2048, 0.02, 1e-4
 EDGES = ".,;:!?\"'()[]{}<>*&%$#|~_-+=/\\"
 #: Words that a worker remembers at most.
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -120,6 +121,7 @@ def _counts(rows: DataFrame, names: list[str] | None) -> DataFrame:
     """(feature, docs) over rows (text): of all features, or of the named ones."""
 
     def count(batches):
+        release()  # what an operator before this one has left in the worker
         finder, found = Finder(names) if names is not None else None, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -135,6 +137,7 @@ def _counts(rows: DataFrame, names: list[str] | None) -> DataFrame:
                     found = {}
         if found:
             yield batch_of(found)
+        trim()
 
     def batch_of(found):
         keys = [names[k] for k in found] if names is not None else list(found)
@@ -161,8 +164,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     cut = min(parts, int(parts * UNLABELLED / max(total, 1)) + 1)
     positive = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"), "left_semi").withColumn("positive", F.lit(True))
     unlabelled = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(parts)) < cut).withColumn("positive", F.lit(False))
-    single = positive.unionByName(unlabelled).groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
-    sample, sizes = store.counted(single, "sample", positive=F.count_if(F.col("positive")))
+    is_positive = F.count_if(F.col("positive"))
+    sample, sizes = store.counted(positive.unionByName(unlabelled), "sample", positive=is_positive)
+    if sample.select("doc_id", "positive").distinct().count() < sizes["n"]:
+        single = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+        sample, sizes = store.counted(single, "sample", positive=is_positive)
     n_pos, n_unl = sizes["positive"], sizes["n"] - sizes["positive"]
     if not n_pos or not n_unl:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
@@ -178,6 +184,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
 
     def features(batches):
+        release()
         finder = Finder(names)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -199,6 +206,7 @@ def scorer(spark: SparkSession, model: Model):
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         if "own" not in finders:
+            release()
             finders["own"] = Finder(held.value.names)
         return pd.Series(held.value.scores(text, finders["own"]))
 
