@@ -23,7 +23,7 @@ from .wordhash import mix, windows
 NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: log2 of the table's places; ids that its units have together at most; words remembered besides.
-PLACES, MAX_IDS, MAX_WORDS = 20, 1 << 23, 50_000
+PLACES, MAX_IDS, MAX_WORDS = 19, 1 << 22, 50_000
 #: Bytes of a unit that the table can tell apart; longer ones are looked up as words.
 UNIT = 24
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import store
-from .codec import codec, default_path, spans
+from .codec import codec, default_path, spans, trim
 from .tokenfiles import END_ID
 from .wordhash import runs
 
@@ -68,6 +68,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     def cut(batches):
         from pyspark import TaskContext
 
+        trim()  # what an operator before this one has left in the worker
         coder, uid = codec(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             for rows in runs(batch):

@@ -32,7 +32,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 #: While a table is written: the bytes of an Arrow batch, since texts can be long, and
 #: shuffle files removed once it is, since no later step reads them.
-CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
