@@ -57,6 +57,13 @@ def _written(s, rows, name="name"):
     return folder
 
 
+def _stored(s, rows):
+    """rows as a table: what is read from many small files is read once."""
+    path = workdir.fresh_dir(s, "rows")
+    rows.write.parquet(path)
+    return s.read.schema(rows.schema).parquet(path)
+
+
 # Statistics
 
 
@@ -475,7 +482,7 @@ def voc_to_coco_files(s, d):
     rows = A.split_valid(V.objects(s, d).withColumns(round_), 1, True)[0]
     docs = A.nest(rows).join(V.images(s, d), "image_key").withColumns({"file_name": F.lit("other.jpg"), "path": F.lit("/data/other.jpg"), "depth": F.lit(3)})
     folder = _written(s, docs.select(F.concat(F.col("image_key").cast("string"), F.lit(".xml")).alias("name"), writers.voc_xml().alias("value")))
-    data = C.voc_to_coco(readers.voc(s, folder, None), V.categories(s))
+    data = C.voc_to_coco(_stored(s, readers.voc(s, folder, None)), V.categories(s))
     return _annotations(_through_file(s, data), "iscrowd", "ignore")
 
 
@@ -498,7 +505,7 @@ def _labelme(s, d, circles=True):
 @query(_SHAPES + "SELECT id, concat(image_key, '.jpg') AS file_name, width, category_id, (abs(xmax - xmin) * abs(ymax - ymin)) AS area, least(xmin, xmax) AS x, least(ymin, ymax) AS y, abs(xmax - xmin) AS w, abs(ymax - ymin) AS h, 'component' AS supercategory FROM sh JOIN images USING (image_key) JOIN cat USING (name) WHERE difficult <> 1")
 def labelme_to_coco(s, d):
     """LabelMe files to one COCO file: circles have no row but use up their ids."""
-    data = _through_file(s, C.shapes_to_coco(readers.labelme(s, _written(s, _labelme(s, d)))))
+    data = _through_file(s, C.shapes_to_coco(_stored(s, readers.labelme(s, _written(s, _labelme(s, d))))))
     above = data["categories"].select(F.col("id").alias("category_id"), "supercategory")
     return _annotations(data).join(above, "category_id")
 
@@ -520,7 +527,7 @@ def cityscapes_to_coco(s, d):
     stem = F.lpad(F.col("image_key").cast("string"), 12, "0")
     folder = _written(s, rows.select(F.concat(stem, F.lit(".json")).alias("name"), doc.alias("value")))
     listed = V.objects(s, d, False).select("image_key").distinct().select(stem.alias("stem"), F.concat(stem, F.lit(".png")).alias("file_name"))
-    shapes = readers.cityscapes(s, folder, listed)
+    shapes = _stored(s, readers.cityscapes(s, folder, listed))
     return _annotations(_through_file(s, C.shapes_to_coco(shapes, listed)))
 
 
@@ -537,7 +544,7 @@ def yolo_to_voc_files(s, d):
     files = V.images(s, d).select(F.col("image_key").cast("string").alias("stem"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), F.lit(3).alias("depth"), F.explode(F.when(F.col("image_key") % 2 == 0, F.array(F.lit(".png"), F.lit(".jpg"))).otherwise(F.array(F.lit(".png")))).alias("ext"))
     classes = s.createDataFrame([("0", "A")], "class_id string, name string")
     docs = C.yolo_to_voc(readers.yolo(s, folder), files.select("stem").distinct(), files, classes)
-    again = readers.voc(s, _written(s, docs.select(F.concat("stem", F.lit(".xml")).alias("name"), writers.element_voc_xml().alias("value"))))
+    again = _stored(s, readers.voc(s, _written(s, docs.select(F.concat("stem", F.lit(".xml")).alias("name"), writers.element_voc_xml().alias("value")))))
     rows = readers.voc_objects(again).join(readers.voc_images(again).select("image_key", "file_name", "width"), "image_key")
     return rows.select(F.col("image_key").cast("bigint").alias("image_key"), F.col("obj_ord").cast("bigint").alias("obj_ord"), "name", "file_name", "width", *(F.col(c).cast("int").alias(c) for c in CORNERS))
 
