@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from ..functions import boxes, images, names
+from . import archives, cocofile
 
 BOX = "struct<xmin:string,ymin:string,xmax:string,ymax:string>"
 VOC = (
@@ -34,9 +36,14 @@ def files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool =
     return spark.read.format("binaryFile").options(pathGlobFilter=pattern, **_options(recursive)).load(path)
 
 
-def voc(spark: SparkSession, path: str, charset: str | None = "UTF-8") -> DataFrame:
+def documents(spark: SparkSession, path: str, ending: str, archived: bool = False) -> DataFrame:
+    """(path, content) of the files with the ending below path; archived: of those in its archives."""
+    return archives.read_archives(spark, path, ending) if archived else files(spark, path, "*" + ending).select("path", "content")
+
+
+def voc(spark: SparkSession, path: str, charset: str | None = "UTF-8", archived: bool = False) -> DataFrame:
     """One row for each XML file, `corrupt` set for what does not parse or decode. charset None: guessed for each file."""
-    raw = files(spark, path, "*.xml")
+    raw = documents(spark, path, ".xml", archived)
     code = F.lit(charset) if charset else images.guess_charset("content")
     # the declaration no longer holds for the decoded text
     text = F.regexp_replace(images.decoded("content", code), r"^\s*<\?xml[^>]*\?>", "")
@@ -61,16 +68,26 @@ def voc_objects(docs: DataFrame) -> DataFrame:
     return rows.select("image_key", (F.col("p") + 1).alias("obj_ord"), "o.name", F.coalesce(boxes.strip(F.col("o.difficult")), F.lit("0")).alias("difficult"), *(F.col(f"o.bndbox.{c}").cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
 
 
-def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _json(spark: SparkSession, path: str, schema: str, archived: bool = False) -> DataFrame:
+    if archived:
+        text = F.regexp_replace(F.col("content").cast("string"), "^\ufeff", "")
+        doc = F.from_json(text, schema + ", corrupt string", {"columnNameOfCorruptRecord": "corrupt"})
+        return documents(spark, path, ".json", True).select(F.col("path").alias("src_path"), doc.alias("__d")).select("__d.*", "src_path")
     return spark.read.schema(schema + ", corrupt string").options(multiLine="true", columnNameOfCorruptRecord="corrupt", recursiveFileLookup="true", pathGlobFilter="*.json").json(path).withColumn("src_path", F.col("_metadata.file_path"))
 
 
 def coco(spark: SparkSession, path: str, numeric: bool | None = None) -> dict[str, DataFrame]:
     """images, annotations and categories of a COCO file. Files have image ids as numbers or
     as text: they are read as text, and made bigint if numeric, or if that is None and a look
-    at the images finds only whole numbers without leading zeros."""
-    doc = _json(spark, path, COCO)
-    data = {k: doc.select(F.inline(k)) for k in ("images", "annotations", "categories")}
+    at the images finds only whole numbers without leading zeros.
+
+    A file larger than cocofile.WHOLE bytes is never one value: its records are found range by range."""
+    sizes = files(spark, path, "*.json").select("path", "length").collect()
+    if any(f.length > cocofile.WHOLE for f in sizes) and all(cocofile.reachable(f.path) for f in sizes):
+        data = cocofile.records(spark, [tuple(f) for f in sizes], T.StructType.fromDDL(COCO))
+    else:
+        doc = _json(spark, path, COCO)
+        data = {k: doc.select(F.inline(k)) for k in cocofile.LISTS}
     if numeric is None:
         numeric = bool(data["images"].agg(F.bool_and(F.col("id").rlike("^(0|[1-9][0-9]{0,17})$"))).first()[0])
     if not numeric:
@@ -78,24 +95,24 @@ def coco(spark: SparkSession, path: str, numeric: bool | None = None) -> dict[st
     return data | {"images": data["images"].withColumn("id", F.col("id").cast("bigint")), "annotations": data["annotations"].withColumn("image_id", F.col("image_id").cast("bigint"))}
 
 
-def labelme(spark: SparkSession, path: str) -> DataFrame:
+def labelme(spark: SparkSession, path: str, archived: bool = False) -> DataFrame:
     """A row for each shape; a shape that is no polygon or rectangle keeps its place, so that ids can count it."""
-    doc = _json(spark, path, LABELME)
+    doc = _json(spark, path, LABELME, archived)
     rows = doc.select("src_path", F.col("imageWidth").alias("width"), F.col("imageHeight").alias("height"), names.basename_any(F.col("imagePath")).alias("file_name"), F.posexplode_outer("shapes").alias("shape_ord", "s"))
     return rows.select("src_path", "file_name", "width", "height", "shape_ord", "s.label", "s.shape_type", "s.points", F.col("s.shape_type").isin("polygon", "rectangle").alias("usable"))
 
 
-def cityscapes(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
+def cityscapes(spark: SparkSession, path: str, listed: DataFrame | None = None, archived: bool = False) -> DataFrame:
     """A row for each polygon. The document does not name its image: file_name is that of
     listed (stem, file_name), or null without it."""
-    doc = _json(spark, path, CITYSCAPES).withColumn("stem", names.stem(names.basename(F.col("src_path"))))
+    doc = _json(spark, path, CITYSCAPES, archived).withColumn("stem", names.stem(names.basename(F.col("src_path"))))
     doc = doc.withColumn("file_name", F.lit(None).cast("string")) if listed is None else doc.join(listed.select("stem", "file_name"), "stem", "left")
     rows = doc.select("src_path", "file_name", F.col("imgWidth").alias("width"), F.col("imgHeight").alias("height"), F.posexplode_outer("objects").alias("shape_ord", "s"))
     return rows.select("src_path", "file_name", "width", "height", "shape_ord", "s.label", F.lit("polygon").alias("shape_type"), F.col("s.polygon").alias("points"), F.lit(True).alias("usable"))
 
 
-def tool(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, TOOL)
+def tool(spark: SparkSession, path: str, archived: bool = False) -> DataFrame:
+    return _json(spark, path, TOOL, archived)
 
 
 def lines_of(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -110,7 +127,10 @@ def parse_yolo(rows: DataFrame, key: str = "stem", text: str = "value") -> DataF
     return tokens.where(F.size("t") == 5).select(key, "line_no", F.get("t", 0).alias("class_id"), *number).dropna(subset=["cx", "cy", "w", "h"])
 
 
-def yolo(spark: SparkSession, path: str) -> DataFrame:
+def yolo(spark: SparkSession, path: str, archived: bool = False) -> DataFrame:
+    if archived:
+        raw = documents(spark, path, ".txt", True)
+        return parse_yolo(raw.select(names.stem(names.basename(F.col("path"))).alias("stem"), F.col("content").cast("string").alias("value")))
     raw = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     return parse_yolo(raw.select(names.stem(names.basename(F.col("_metadata.file_path"))).alias("stem"), "value"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import images
+from . import cocofile, workdir
 
 
 def voc_xml(database: str = "Unknown", folder: str = "VOC") -> Column:
@@ -36,49 +37,15 @@ def element_voc_xml(folder: str = "VOC_dataset") -> Column:
 
 
 def write_coco(data: dict[str, DataFrame], folder: str, info: bool = False) -> str:
-    """The data set as one JSON file below folder, written record by record by one task
-    that never holds more than a batch: the frames are sorted in parallel before. Returns its path."""
-    parts = [(0, '{"images": [', "images", "id"), (1, '], "annotations": [', "annotations", "id"), (2, '], "categories": [', "categories", "id")]
-    head = F.to_json(F.struct(default_info().alias("info"))) if info else F.lit('{"type": "instances"}')
-    lines = data["images"].sparkSession.range(1).select(F.lit(3).alias("part"), F.lit("").alias("at"), F.concat(F.lit("], "), F.substring(head, F.lit(2), F.length(head))).alias("value"))
-    for k, start, name, order in parts:
-        df = data[name]
-        body = df.select(F.lit(k).alias("part"), F.lpad(F.col(order).cast("string"), 24, "0").alias("at"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-        first = df.sparkSession.range(1).select(F.lit(k).alias("part"), F.lit("").alias("at"), F.lit(start).alias("value"))
-        lines = lines.unionByName(body).unionByName(first)
-    ordered = lines.orderBy("part", "at").select("part", "at", "value")
-
-    def comma(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            # a record is followed by a comma, but not the last of its list, which a line of its own closes
-            value, at = batch.column("value"), batch.column("at")
-            yield pa.RecordBatch.from_arrays([batch.column("part"), at, pc.if_else(pc.equal(at, ""), value, pc.binary_join_element_wise(",", value, ""))], names=["part", "at", "value"])
-
-    return _single_file(ordered.mapInArrow(comma, "part int, at string, value string"), folder)
-
-
-def _single_file(ordered: DataFrame, folder: str) -> str:
-    """Sorted lines as one file: the first record of each list loses its comma."""
-    target = f"{folder}/data.json"
-
-    def put(batches):
-        import pyarrow as pa
-        from pyarrow.fs import FileSystem
-
-        fs, base = FileSystem.from_uri(target)
-        fs.create_dir(base.rpartition("/")[0], recursive=True)
-        count, opened = 0, True
-        with fs.open_output_stream(base, compression=None) as f:
-            for batch in batches:
-                for at, value in zip(batch.column("at").to_pylist(), batch.column("value").to_pylist()):
-                    f.write((value[1:] if at and opened else value).encode())
-                    opened, count = not at, count + 1
-        yield pa.RecordBatch.from_pydict({"lines": [count]})
-
-    ordered.coalesce(1).mapInArrow(put, "lines bigint").collect()
+    """The data set as one JSON file below folder, a record a line: the lists are sorted and
+    written as pieces in parallel, and one task copies the pieces. Returns its path."""
+    spark, target = data["images"].sparkSession, f"{folder}/data.json"
+    head = spark.range(1).select(F.to_json(F.struct(default_info().alias("info")))).first()[0] if info else '{"type": "instances"}'
+    texts = []
+    for start, name in zip(('{"images": [\n', '\n], "annotations": [\n', '\n], "categories": [\n'), cocofile.LISTS):
+        texts += [start, cocofile.write_list(data[name], "id", f"{folder}/pieces/{name}")]
+    cocofile.join_pieces(spark, [*texts, "\n], " + head[1:]], target)
+    workdir.remove(spark, f"{folder}/pieces")
     return target
 
 
