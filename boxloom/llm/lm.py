@@ -3,10 +3,10 @@
 Documents are dealt by hash to blocks. For each order n a block explodes its texts into
 n-grams and counts them: rows (gram, block, n), one for each block that has the gram,
 however often, so that no gram is hot. The rows are partitioned by the gram's hash; there
-they are summed to the count table, which is joined to the same rows on the gram. Counts
-of grams that other blocks have too go back to their blocks; of all others the block's
-own count is the whole. With all counts, a block scores its documents' words and sums
-them for each document.
+they are sorted by the gram and summed to the count table, which is joined to the same rows
+on the gram. The counts go back to their blocks in the order of the grams, which a block
+knows, so that no gram goes back. With all counts, a block scores its documents' words and
+sums them for each document.
 
 An n-gram can be in another document only if the two (n-1)-grams in it are. So of each
 order only those are asked for whose parts have been found elsewhere; it leaves out none
@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from . import store
 from .codec import trim
@@ -36,10 +35,13 @@ BLOCK_DOCS = 4096
 #: Bytes of text of a block on average at most.
 BLOCK_BYTES = 8 << 20
 #: Blocks whose rows a partition of the count table takes on average at most.
-BLOCKS_A_PART = 8
+BLOCKS_A_PART = 4
+#: A partition of the count table takes some of 2 ** SLOT_BITS ranges of the hash, or of more if there are many partitions.
+SLOT_BITS = 12
 ODD = np.uint64(0xD1342543DE82EF95)
 
 ASKED = "gram bigint, block int, n int"
+ANSWERS = "block int, gram_order int, bits int, slots binary, size bigint, totals binary"
 SUMS = "doc_id bigint, n_words bigint, n_unigrams bigint, logs double"
 
 
@@ -66,16 +68,14 @@ def _pack(batches):
 
 
 class Block:
-    """The words of a block's texts, and the answers (gram, total) that it got."""
+    """The words of a block's texts, and the answers (ANSWERS) that it got."""
 
     def __init__(self, texts: pa.Table, answers: pa.Table | None):
         zstd = pa.Codec("zstd")
         raw = [zstd.decompress(t, n, asbytes=True) for t, n in zip(texts.column("text").to_pylist(), texts.column("size").to_pylist())]
         self.hashes, self.offsets = hash_words(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
         self.owner = np.repeat(np.arange(texts.num_rows), np.diff(self.offsets))
-        gram, total = (answers.column(c).to_numpy() for c in ("gram", "total")) if answers is not None else (np.zeros(0, np.int64),) * 2
-        order = np.argsort(gram)
-        self.known, self.totals = gram[order], total[order]
+        self.answers = answers.to_pylist() if answers is not None else []
 
     def count(self, n: int, shorter: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
         """(all places of n-grams, places, number of the gram at each, grams, their
@@ -88,13 +88,23 @@ class Block:
         grams, number, counts = np.unique(key, return_inverse=True, return_counts=True)
         return every, places, number, grams, counts
 
+    def total(self, n: int, grams: np.ndarray) -> np.ndarray:
+        """The counts of all grams that were asked for in order n, from the answers of each partition."""
+        totals, zstd = np.zeros(len(grams), np.int64), pa.Codec("zstd")
+        for row in self.answers:
+            if row["gram_order"] == n:
+                slots = np.frombuffer(row["slots"], np.int32).astype(np.int64)
+                shift = 64 - row["bits"]
+                starts = np.searchsorted(grams, slots << shift)
+                sizes = np.searchsorted(grams, (slots << shift) + ((1 << shift) - 1), "right") - starts
+                got = np.frombuffer(zstd.decompress(row["totals"], row["size"], asbytes=True), np.int64 if row["size"] == 8 * sizes.sum() else np.int32)
+                totals[np.arange(len(got)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)] = got
+        return totals
+
     def outside(self, n: int, shorter: np.ndarray | None = None) -> np.ndarray:
         """At each word, how often the n-gram that ends there occurs outside its document; -1 where none ends."""
-        every, places, number, grams, own = self.count(n, shorter)
-        totals = own
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
-            totals = np.where(self.known[at] == grams, self.totals[at], own)
+        every, places, number, grams, _ = self.count(n, shorter)
+        totals = self.total(n, grams)
         _, back, mine = np.unique(self.owner[places] * max(len(grams), 1) + number, return_inverse=True, return_counts=True)
         rest = np.full(len(self.hashes), -1, np.int64)
         rest[every] = 0
@@ -120,12 +130,15 @@ class Block:
 
 
 def _ask(n: int):
-    """The rows of a block for order n; beyond the first, with the answers to order n - 1."""
+    """The rows of a block for order n; beyond the first, with the answers to all orders before."""
     def ask(key: tuple[pa.Scalar, ...], texts: pa.Table, answers: pa.Table | None) -> pa.Table:
         grams = counts = np.zeros(0, np.int64)
         if texts.num_rows:
             block = Block(texts, answers)
-            *_, grams, counts = block.count(n, block.outside(n - 1) if n > 1 else None)
+            shorter = None
+            for k in range(1, n):
+                shorter = block.outside(k, shorter)
+            *_, grams, counts = block.count(n, shorter)
             del block
             trim()
         kinds = (pa.int64(), pa.int32(), pa.int32())
@@ -151,12 +164,47 @@ def _score(order: int, backoff: float):
     return score
 
 
-def _answers(asked: DataFrame, parts: int) -> DataFrame:
-    """(block, gram, total) of the grams that several blocks have. The window is the count
-    table joined to the rows that it sums, in one pass over their partition."""
-    by = W.partitionBy("gram")
-    counted = asked.repartition(parts, "gram").select("block", "gram", F.sum("n").over(by).alias("total"), F.count("*").over(by).alias("blocks"))
-    return counted.where("blocks > 1").select("block", "gram", "total")
+def _count(n: int, bits: int):
+    """The answers to all rows of a partition: the sum of each gram, in the order of (block, gram)."""
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+
+    def count(batches):
+        parts = [[batch.column(c).to_numpy() for c in ("gram", "block", "n")] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        gram, block, counts = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        order = np.argsort(gram)
+        ranked = gram[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        sums = np.add.reduceat(counts[order], np.flatnonzero(new), dtype=np.int64)
+        totals = np.empty(len(gram), np.int64)
+        totals[order] = sums[np.cumsum(new) - 1]
+        del ranked, new, sums, counts
+        # by gram, and then stable by block
+        order = order[np.argsort(block[order], kind="stable")]
+        gram, block, totals = gram[order], block[order], totals[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        zstd, rows = pa.Codec("zstd", 3), []
+        for a, b in zip(first, [*first[1:], len(block)]):
+            slot = gram[a:b] >> (64 - bits)
+            slots = slot[np.concatenate([[True], slot[1:] != slot[:-1]])].astype(np.int32)
+            raw = totals[a:b].astype(np.int32 if totals[a:b].max() < 1 << 31 else np.int64).tobytes()
+            rows.append((int(block[a]), n, bits, slots.tobytes(), len(raw), zstd.compress(raw, asbytes=True)))
+        del gram, block, totals
+        trim()
+        for k in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[k : k + 64]), kinds)], names=[c.split()[0] for c in ANSWERS.split(", ")])
+
+    return count
+
+
+def _answers(asked: DataFrame, n: int, parts: int) -> DataFrame:
+    """The counts (ANSWERS) of all rows asked for in order n. All rows of a range of the
+    hash are in one partition, so an answer has the counts of whole ranges of a block's grams."""
+    bits = max(SLOT_BITS, (16 * parts - 1).bit_length())
+    return asked.repartition(parts, F.shiftright("gram", 64 - bits)).mapInArrow(_count(n, bits), ANSWERS)
 
 
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -173,10 +221,10 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_
     parts = min(blocks, max(2 * store.partitions(spark), -(-blocks // BLOCKS_A_PART)))
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(blocks)).cast("int").alias("block"))
     dealt = dealt.mapInArrow(_pack, PACKED).repartition(parts, "block").groupBy("block")
-    found = [store.table(_answers(dealt.applyInArrow(_ask(1), ASKED), parts), "answers")]
+    found = [store.table(_answers(dealt.applyInArrow(_ask(1), ASKED), 1, parts), "answers")]
     for n in range(2, order + 1):
-        asked = dealt.cogroup(found[-1].groupBy("block")).applyInArrow(_ask(n), ASKED)
-        found.append(store.table(_answers(asked, parts), "answers"))
+        asked = dealt.cogroup(reduce(DataFrame.unionByName, found).groupBy("block")).applyInArrow(_ask(n), ASKED)
+        found.append(store.table(_answers(asked, n, parts), "answers"))
     answers = reduce(DataFrame.unionByName, found)
     sums = store.table(dealt.cogroup(answers.groupBy("block")).applyInArrow(_score(order, backoff), SUMS), "sums")
     total = sums.agg(F.sum("n_words")).first()[0] or 0
