@@ -14,16 +14,27 @@ def test_answers_carry_counts_of_ranges_and_no_grams():
         counts = rng.integers(2, 4, len(grams)) * (1 << 29 if block else 1)
         asks.append((block, grams, counts))
         sums.update(dict(zip(grams.tolist(), counts.tolist())))
-    rows = [(g, block, n) for block, grams, counts in asks for g, n in zip(grams.tolist(), counts.tolist())]
+    rows = [(g, (block << 32) + n) for block, grams, counts in asks for g, n in zip(grams.tolist(), counts.tolist())]
     rng.shuffle(rows)
     for bits in (1, 12):
         answers = []
         for part in range(5):  # a partition has some of the ranges, in any order
             own = [r for r in rows if (r[0] >> (64 - bits)) % 5 == part]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own) if own else ((),) * 3, (pa.int64(), pa.int32(), pa.int32()))], names=["gram", "block", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own) if own else ((),) * 2, (pa.int64(),) * 2)], names=["gram", "own"])
             answers += [r for b in lm._count(2, bits)([batch]) for r in b.to_pylist()]
         assert not any("gram" in r for r in answers)
         for block, grams, _ in asks:
             held = lm.Block.__new__(lm.Block)
             held.answers = [r for r in answers if r["block"] == block]
             assert held.total(2, grams).tolist() == [sums[g] for g in grams.tolist()]
+
+
+def test_counts_within_documents_equal_a_count_of_pairs():
+    rng = np.random.default_rng(4)
+    for kinds in (1, 50, 200_000):
+        number = rng.integers(0, kinds, 5000) if kinds < 200_000 else np.concatenate([rng.permutation(kinds), rng.integers(0, kinds, 50_000)])
+        owner = np.sort(rng.integers(0, 40, len(number)))
+        pairs = Counter(zip(number.tolist(), owner.tolist()))
+        got = lm.in_document(number, owner, np.bincount(number, minlength=kinds))
+        assert got.tolist() == [pairs[p] for p in zip(number.tolist(), owner.tolist())]
+    assert len(lm.in_document(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
