@@ -74,6 +74,16 @@ def test_a_large_coco_file_is_read_by_ranges(spark, monkeypatch, tmp_path, inden
         assert {k: sorted(map(str, v.collect())) for k, v in readers.coco(spark, str(tmp_path)).items()} == whole
 
 
+def test_records_of_a_large_coco_file_are_not_taken_for_few(spark, monkeypatch, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"images": [{"id": 1, "width": 4}], "annotations": [{"id": 2, "image_id": 1}], "categories": []}))
+    monkeypatch.setattr(cocofile, "WHOLE", 0)
+    data = readers.coco(spark, str(tmp_path))
+    rows = data["annotations"].join(data["images"].select(F.col("id").alias("image_id"), "width"), "image_id")
+    # how large they are is known once they are read: before that, no side is broadcast
+    assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [(r.id, r.width) for r in rows.collect()] == [(2, 4.0)]
+
+
 def test_a_written_coco_file_is_sorted_and_has_a_record_a_line(spark):
     ids = spark.range(0, 5000, 1, 7).select((F.col("id") * 7 % 5000).alias("id"))
     data = {"images": ids, "annotations": ids.withColumn("v", F.lit('a"b')), "categories": ids.limit(0)}
