@@ -47,7 +47,7 @@ def objects(spark: SparkSession, sf_dir: str, ordered: bool = True) -> DataFrame
 
 
 def categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("A", 1), ("N", 2), ("R", 3)], "name string, category_id bigint")
+    return spark.sql("SELECT * FROM VALUES ('A', 1L), ('N', 2L), ('R', 3L) AS t(name, category_id)")
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ LISTS = ("images", "annotations", "categories")
 #: Bytes of a file that is still read as one value, and of a range of a larger one.
 WHOLE = 32 << 20
 RANGE = 8 << 20
+#: Bytes of a list whose records may be broadcast.
+FEW = 4 << 20
 #: Bytes of records in a batch.
 BATCH_BYTES = 4 << 20
 
@@ -63,32 +65,43 @@ def _plain(path: str, start: int, end: int) -> bytes:
     return data.replace(b"\\\\", b"__").replace(b'\\"', b"__") if b"\\" in data else data
 
 
-def _brackets(data: bytes, inside: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places and steps (1, -1) of the brackets outside strings."""
+def _marks(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and steps (1, -1) of all brackets, and whether the quotes before each are odd in number."""
     kind = _KIND[np.frombuffer(data, np.uint8)]
     at = np.flatnonzero(kind)
     step = kind[at]
     quote = step == 2
-    free = ~quote & ((np.cumsum(quote) & 1) == int(inside))
-    return at[free], step[free].astype(np.int64)
+    bracket = np.flatnonzero(~quote)
+    odd = np.cumsum(quote, dtype=np.uint8)[bracket] & 1
+    return at[bracket], step[bracket].astype(np.int64), odd
+
+
+def _brackets(data: bytes, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places and steps (1, -1) of the brackets outside strings."""
+    at, step, odd = _marks(data)
+    free = odd == int(inside)
+    return at[free], step[free]
 
 
 def _spans(sizes: list[tuple[str, int]]) -> list[tuple[str, int, int]]:
     return [(path, a, min(a + RANGE, n)) for path, n in sizes for a in range(0, n, RANGE)]
 
 
-def _each(spark: SparkSession, tasks: list, run, schema: str) -> DataFrame:
+def _each(spark: SparkSession, tasks: list, run, schema: str, few: bool = True) -> DataFrame:
     """The batches of run(task) of all tasks, each by a task of Spark.
 
-    The numbers of the tasks are an RDD, of which Spark assumes no size. By the size of
-    spark.range() it would take the records for few and broadcast them in joins."""
+    By the size of spark.range() Spark takes the rows for few and broadcasts them in joins.
+    Unless they are, the numbers of the tasks are an RDD, of which it assumes no size."""
 
     def go(batches):
         for batch in batches:
             for k in batch.column("id").to_pylist():
                 yield from run(tasks[k])
 
-    numbers = spark.sparkContext.parallelize([(k,) for k in range(len(tasks))], max(1, len(tasks)))
+    n = max(1, len(tasks))
+    if few:
+        return spark.range(0, len(tasks), 1, n).mapInArrow(go, schema)
+    numbers = spark.sparkContext.parallelize([(k,) for k in range(len(tasks))], n)
     return spark.createDataFrame(numbers, "id bigint").mapInArrow(go, schema)
 
 
@@ -97,8 +110,9 @@ def _look(span):
 
     data = _plain(*span)
     row = {"path": span[0], "start": span[1], "odd": data.count(b'"') % 2}
+    _, steps, odd = _marks(data)
     for inside in (0, 1):
-        _, step = _brackets(data, bool(inside))
+        step = steps[odd == inside]
         row[f"change{inside}"], row[f"least{inside}"] = int(step.sum()), int(min(np.cumsum(step).min(initial=0), 0))
     yield pa.RecordBatch.from_pylist([row])
 
@@ -170,7 +184,8 @@ def records(spark: SparkSession, sizes: list[tuple[str, int]], schema: T.StructT
     data = {}
     for name in LISTS:
         tasks = [(s, inside, depth, low, high) for own, path, low, high in lists if own == name for s, inside, depth, _ in states if s[0] == path and s[1] <= high and s[2] > low]
-        data[name] = _each(spark, tasks, _find, "value string").select(F.from_json("value", kinds[name]).alias("r")).select("r.*")
+        few = sum(high - low for own, _, low, high in lists if own == name) <= FEW
+        data[name] = _each(spark, tasks, _find, "value string", few).select(F.from_json("value", kinds[name]).alias("r")).select("r.*")
     return data
 
 

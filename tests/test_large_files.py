@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxloom.functions import images
-from boxloom.plans import catalogue
+from boxloom.operators import annotations
+from boxloom.plans import catalogue, views
 from boxloom.sources import archives, cocofile, readers, workdir, writers
 
 SF = "/root/testdata/sf0.001"
@@ -77,10 +78,14 @@ def test_a_large_coco_file_is_read_by_ranges(spark, monkeypatch, tmp_path, inden
 def test_records_of_a_large_coco_file_are_not_taken_for_few(spark, monkeypatch, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"images": [{"id": 1, "width": 4}], "annotations": [{"id": 2, "image_id": 1}], "categories": []}))
     monkeypatch.setattr(cocofile, "WHOLE", 0)
+    monkeypatch.setattr(cocofile, "FEW", 10, raising=False)
     data = readers.coco(spark, str(tmp_path))
     rows = data["annotations"].join(data["images"].select(F.col("id").alias("image_id"), "width"), "image_id")
     # how large they are is known once they are read: before that, no side is broadcast
-    assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in (plan := lambda df: df._jdf.queryExecution().executedPlan().toString())(rows)
+    # while the classes of a data set are few, and cost no shuffle of its objects
+    assert "BroadcastHashJoin" in plan(data["annotations"].join(data["categories"].withColumnRenamed("id", "category_id"), "category_id"))
+    assert "BroadcastHashJoin" in plan(annotations.with_category(spark.range(9).select(F.col("id").cast("string").alias("name")), views.categories(spark)))
     assert [(r.id, r.width) for r in rows.collect()] == [(2, 4.0)]
 
 
