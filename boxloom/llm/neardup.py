@@ -28,7 +28,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,14 +108,36 @@ def _sign(bands: int, rows: int, width: int):
     return sign
 
 
-def _agreement(registers: int):
-    """Share of equal registers of two signatures, as a column function."""
-    @F.pandas_udf("double")
-    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, registers) for s in (a, b))
-        return pd.Series((x == y).mean(axis=1))
+LINK = "a bigint, b bigint"
 
-    return agree
+
+def _links(batch: pa.RecordBatch, kept: np.ndarray) -> pa.RecordBatch:
+    return batch.select(["a", "b"]).filter(pa.array(kept))
+
+
+def _agree(registers: int):
+    """Of pairs (a, b) with their signatures (x, y), those with enough equal registers."""
+    def likely(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, registers) for k in ("x", "y"))
+            yield _links(batch, (x == y).mean(axis=1) >= LIKELY)
+
+    return likely
+
+
+def _overlaps(a: pa.Array, b: pa.Array, width: int) -> np.ndarray:
+    out, at = np.zeros(len(a)), 0
+    for run in runs(pa.RecordBatch.from_arrays([a, b], names=["text", "other"])):
+        n = run.num_rows
+        coded = pa.concat_arrays([run.column("text"), run.column("other")]).dictionary_encode()  # a text is hashed once
+        elements, offsets = _sets(coded.dictionary, width)
+        x, y = np.split(coded.indices.to_numpy(zero_copy_only=False), 2)
+        flags = np.zeros(int(elements.max(initial=-1)) + 1, bool)
+        order = np.argsort(x, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+            out[at + some] = _jaccards(elements, offsets, flags, x[some[0]], y[some])
+        at += n
+    return out
 
 
 def overlap(width: int = WIDTH):
@@ -124,22 +145,20 @@ def overlap(width: int = WIDTH):
     Two texts without words overlap by 0."""
     @F.arrow_udf("double")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
-        out, at = np.zeros(len(a)), 0
-        for run in runs(pa.RecordBatch.from_arrays([a, b], names=["text", "other"])):
-            n = run.num_rows
-            coded = pa.concat_arrays([run.column("text"), run.column("other")]).dictionary_encode()  # a text is hashed once
-            elements, offsets = _sets(coded.dictionary, width)
-            x, y = np.split(coded.indices.to_numpy(zero_copy_only=False), 2)
-            flags = np.zeros(int(elements.max(initial=-1)) + 1, bool)
-            order = np.argsort(x, kind="stable")
-            for some in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
-                out[at + some] = _jaccards(elements, offsets, flags, x[some[0]], y[some])
-            at += n
-        return pa.array(out)
+        return pa.array(_overlaps(a, b, width))
 
     return similar
 
 
+def _verify(similarity: float, width: int):
+    """Of pairs (a, b) with their texts (x, y), those whose texts overlap enough."""
+    def verified(batches):
+        for batch in batches:
+            yield _links(batch, _overlaps(batch.column("x"), batch.column("y"), width) >= similarity)
+
+    return verified
+
+
 # Cells of a bucket that holds several classes
 
 CELL = ["bucket", "home", "room"]
@@ -194,16 +213,17 @@ def _join(similarity: float, width: int):
 def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, named: DataFrame, linked: int, registers: int, similarity: float, width: int, block: int) -> DataFrame | None:
     """The links between classes within buckets, found in cells; None if each bucket's members are of one class."""
     own = members.join(store.small(named, rows=linked), "node", "left").select("node", "bucket", "size", F.coalesce("class", "node").alias("own"))
-    own = store.table(own, "own")
+    own, _ = store.handed(own, "own")
     classes_ = own.groupBy("bucket", "own").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     mixed = classes_.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "own", "bytes")).alias("m"), F.count("*").alias("k")).where("k > 1")
     parts = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES)).cast("int")
     mixed = mixed.select("bucket", F.col("m.own").alias("main"), parts(F.col("n"), F.col("bytes")).alias("homes"), parts(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("rooms"))
-    mixed, several = store.counted(store.fitted(mixed, held), "mixed")
+    mixed, several = store.handed(store.fitted(mixed, held), "mixed")
     if not several["n"]:
         return None
     rows = own.join(store.small(mixed, rows=several["n"]), "bucket").withColumn("apart", F.col("own") != F.col("main"))
-    rows = store.table(rows.select("node", "bucket", "own", "apart", "homes", "rooms"), "sides").join(nodes.select("node", "low"), "node")
+    rows, _ = store.handed(rows.select("node", "bucket", "own", "apart", "homes", "rooms"), "sides")
+    rows = rows.join(nodes.select("node", "low"), "node")
     place = lambda seed, n: F.pmod(F.xxhash64("node", "bucket", F.lit(seed)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     names = ("node", "own", "low", "bucket")
@@ -214,7 +234,7 @@ def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, na
     if not likely["n"]:
         return None
     texts, _ = _texts(docs, nodes, flagged.select("node").distinct(), likely["n"])
-    cells = flagged.join(texts, "node").groupBy(CELL).applyInArrow(_join(similarity, width), "a bigint, b bigint")
+    cells = flagged.join(texts, "node").groupBy(CELL).applyInArrow(_join(similarity, width), LINK)
     return store.table(cells, "across")
 
 
@@ -224,19 +244,19 @@ def _across(docs: DataFrame, nodes: DataFrame, members: DataFrame, held: int, na
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, most: int) -> tuple[DataFrame, int]:
     """A stored table (node, text) of the wanted nodes, at most so many. Only their texts move."""
     wanted = nodes.select("node", F.col("rep").alias("__rep"), F.col("content").alias("__content")).join(store.small(wanted, rows=most), "node")
-    wanted, known = store.counted(store.fitted(wanted, most), "wanted")
+    wanted, known = store.handed(store.fitted(wanted, most), "wanted")
     rows = docs.select(F.col("doc_id").alias("rep"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("content", F.xxhash64("text"))
     texts = rows.join(store.small(wanted, rows=known["n"]), (F.col("rep") == F.col("__rep")) & (F.col("content") == F.col("__content")))
     # one of the rows that repeat an id and its text
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    return store.table(texts, "texts"), known["n"]
+    return store.handed(texts, "texts")[0], known["n"]
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, count: int, similarity: float, width: int) -> DataFrame:
-    """Those of pairs (a, b) whose texts overlap enough."""
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, count: int, similarity: float, width: int) -> tuple[DataFrame, dict[str, int]]:
+    """A stored table of those of pairs (a, b) whose texts overlap enough, and its rows."""
     texts, _ = _texts(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * count)
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    return sides.where(overlap(width)("x", "y") >= similarity).select("a", "b")
+    return store.handed(sides.select("a", "b", "x", "y"), "stars", _verify(similarity, width), LINK)
 
 
 def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
@@ -245,9 +265,9 @@ def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
 
     Each round gives a node the least label of its own, its neighbours' and its label's
     label; rounds end when none changes. All state is in written tables."""
-    both, _ = store.counted(store.fitted(links.select("a", "b").union(links.select("b", "a")).distinct(), 2 * count), "links")
+    both, _ = store.handed(store.fitted(links.select("a", "b").union(links.select("b", "a")).distinct(), 2 * count), "links")
     labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
-    labels, known = store.counted(store.fitted(labels, count), "labels")
+    labels, known = store.handed(store.fitted(labels, count), "labels")
     none = F.lit(None).cast("bigint")
     while True:
         small = lambda names: store.small(labels.toDF(*names), rows=known["n"])
@@ -255,7 +275,7 @@ def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
         near = both.join(small(("b", "label")), "b").select(F.col("a").alias("node"), "label", none.alias("was"))
         jump = labels.join(small(("at", "jump")), F.col("label") == F.col("at")).select("node", F.col("jump").alias("label"), none.alias("was"))
         lower = own.unionByName(near).unionByName(jump).groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was"))
-        lower, moved = store.counted(store.fitted(lower, count), "labels", changed=F.count_if(F.col("label") < F.col("was")))
+        lower, moved = store.handed(store.fitted(lower, count), "labels", changed=F.count_if(F.col("label") < F.col("was")))
         labels = lower.select("node", "label")
         if not moved["changed"]:
             return labels.withColumnRenamed("label", "class"), known["n"]
@@ -263,16 +283,16 @@ def components(links: DataFrame, count: int) -> tuple[DataFrame, int]:
 
 def _stars(nodes: DataFrame, members: DataFrame, held: int, registers: int) -> tuple[DataFrame, int]:
     """Pairs (a, b) of the members of each bucket with its two centres, whose signatures agree enough."""
-    company, several = store.counted(store.fitted(members.groupBy("node").agg(F.sum("n").alias("company")), held), "company")
+    company, several = store.handed(store.fitted(members.groupBy("node").agg(F.sum("n").alias("company")), held), "company")
     ranked = members.join(store.small(company, rows=several["n"]), "node")
     centres = ranked.groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("hub"), F.min(F.struct(F.xxhash64("node"), "node")).alias("any"))
-    centres, elected = store.counted(store.fitted(centres.select("bucket", F.array("hub.node", "any.node").alias("centres")), held), "centres")
+    centres, elected = store.handed(store.fitted(centres.select("bucket", F.array("hub.node", "any.node").alias("centres")), held), "centres")
     met = members.join(store.small(centres, rows=elected["n"]), "bucket").select("node", F.explode("centres").alias("centre")).where("node != centre")
     pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    pairs, found = store.counted(store.fitted(pairs, 2 * held), "pairs")
+    pairs, found = store.handed(store.fitted(pairs, 2 * held), "pairs")
     side = lambda k, v: nodes.select(F.col("node").alias(k), F.col("low").alias(v))
-    likely = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(_agreement(registers)("x", "y") >= LIKELY).select("a", "b")
-    likely, left = store.counted(likely, "likely")
+    sides = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+    likely, left = store.handed(sides, "likely", _agree(registers), LINK)
     return likely, left["n"]
 
 
@@ -286,12 +306,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
     A text of any length is signed and verified whole."""
     text = F.coalesce(F.col("text"), F.lit(""))
     read = docs.select("doc_id", F.xxhash64(text).alias("content"), F.octet_length(text).cast("bigint").alias("size"), text.alias("text"))
-    signed, total = store.counted(read.mapInArrow(_sign(bands, rows, width), SIGNED), "signed")
+    signed, total = store.handed(read, "signed", _sign(bands, rows, width), SIGNED)
     alone = F.col("key").isNull() | F.col("doc_id").isNull()
     # bands and registers are the same in all copies, so that copies meet before the shuffle
     keyed = signed.where(~alone).groupBy("key").agg(F.min(F.struct("doc_id", "content")).alias("r"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
     keyed = keyed.select(F.monotonically_increasing_id().alias("node"), "key", F.col("r.doc_id").alias("rep"), F.col("r.content").alias("content"), "n", "size", "bands", "low")
-    nodes, texts = store.counted(keyed, "nodes")
+    nodes, texts = store.handed(keyed, "nodes")
 
     named = _named(docs, nodes, texts["n"], bands, rows, similarity, width, block)
     named = named.select(F.col("key").alias("__key"), F.col("rep").alias("copy_of"), "class_id", "n")
@@ -309,22 +329,22 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH,
 def _named(docs: DataFrame, nodes: DataFrame, count: int, bands: int, rows: int, similarity: float, width: int, block: int) -> DataFrame:
     """nodes with their class_id."""
     members = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    sizes, shared = store.counted(store.fitted(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), count * bands), "buckets")
+    sizes, shared = store.handed(store.fitted(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), count * bands), "buckets")
     alone = nodes.withColumn("class_id", F.col("rep"))
     if not shared["n"]:
         return alone
-    members, held = store.counted(store.fitted(members.join(store.small(sizes, rows=shared["n"]), "bucket"), count * bands), "members")
+    members, held = store.handed(store.fitted(members.join(store.small(sizes, rows=shared["n"]), "bucket"), count * bands), "members")
     likely, pairs = _stars(nodes, members, held["n"], bands * rows)
-    stars, found = store.counted(_verified(docs, nodes, likely, pairs, similarity, width), "stars") if pairs else (likely, {"n": 0})
+    stars, found = _verified(docs, nodes, likely, pairs, similarity, width) if pairs else (likely, {"n": 0})
     named, linked = components(stars, found["n"])
     across = _across(docs, nodes, members, held["n"], named, linked, bands * rows, similarity, width, block)
     if across is not None:
-        both, found = store.counted(across.union(named.where("node != class").toDF("a", "b")).distinct(), "both")
+        both, found = store.handed(across.union(named.where("node != class").toDF("a", "b")).distinct(), "both")
         named, linked = components(both, found["n"])
     least = nodes.select("node", "rep").join(store.small(named, rows=linked), "node").groupBy("class").agg(F.min("rep").alias("class_id"))
-    least, several = store.counted(store.fitted(least, linked), "least")
+    least, several = store.handed(store.fitted(least, linked), "least")
     named = named.join(store.small(least, rows=several["n"]), "class").select(F.col("node").alias("__node"), "class_id")
-    named, linked = store.counted(store.fitted(named, linked), "named")
+    named, linked = store.handed(store.fitted(named, linked), "named")
     return nodes.join(store.small(named, rows=linked["n"]), F.col("node") == F.col("__node"), "left").withColumn("class_id", F.coalesce("class_id", "rep")).drop("__node")
 
 
@@ -335,11 +355,11 @@ def _same() -> Column:
 def keep(docs: DataFrame, **how) -> DataFrame:
     """docs with one document of each class, its least doc_id, in docs' columns; of rows
     that repeat that id with the same text, one. Rows with a null id stay."""
-    found = store.table(classes(docs, **how).where("doc_id != class_id").select(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).distinct(), "dropped")
+    found, _ = store.handed(classes(docs, **how).where("doc_id != class_id").select(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).distinct(), "dropped")
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     left = docs.withColumn("__own", content).join(store.small(found), _same(), "left_anti")
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", content.alias("__content")).count().where("count > 1").select(F.col("doc_id").alias("__id"), "__content")
-    again, several = store.counted(again, "again")
+    again, several = store.handed(again, "again")
     if not several["n"]:
         return left.select(*docs.columns)
     again = store.small(again, rows=several["n"])

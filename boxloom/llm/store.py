@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,24 +37,30 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: df written as Parquet to the shared folder, and reread.
-
-    Replicated storage holds the rows, so a lost executor costs no recomputation, and
-    the shuffle files that made them go at once. Rows go to Python in bounded batches."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
+@contextmanager
+def _writing(spark: SparkSession):
     before = {key: spark.conf.get(key, None) for key in CONF}
     for key, value in CONF.items():
         spark.conf.set(key, value)
     try:
-        df.write.parquet(path)
+        yield
     finally:
         for key, value in before.items():
             if value is None:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def table(df: DataFrame, name: str) -> DataFrame:
+    """Cuts the lineage: df written as Parquet to the shared folder, and reread.
+
+    Replicated storage holds the rows, so a lost executor costs no recomputation, and
+    the shuffle files that made them go at once. Rows go to Python in bounded batches."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    with _writing(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,6 +71,64 @@ def counted(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, dict[s
     return written, seen.get
 
 
+#: Arrow bytes of a row group of a table that Python writes.
+GROUP_BYTES = 16 << 20
+
+
+def _files(path: str, through):
+    """Writes what `through` makes of a task's batches to a file of this attempt, and gives its path and rows."""
+    def write(batches):
+        from pyarrow.parquet import ParquetWriter
+
+        out, held, size, n = None, [], 0, 0
+        fs, folder = open_fs(path)
+        name = f"{uuid.uuid4().hex}.parquet"
+        try:
+            for batch in through(batches) if through else batches:
+                if not batch.num_rows:
+                    continue
+                if out is None:
+                    fs.create_dir(folder, recursive=True)
+                    out = ParquetWriter(f"{folder}/{name}", batch.schema, filesystem=fs)
+                held.append(batch)
+                size, n = size + batch.nbytes, n + batch.num_rows
+                if size >= GROUP_BYTES:
+                    out.write_table(pa.Table.from_batches(held))
+                    held, size = [], 0
+            if held:
+                out.write_table(pa.Table.from_batches(held))
+        finally:
+            if out is not None:
+                out.close()
+        if n:
+            yield pa.RecordBatch.from_pydict({"file": [f"{path}/{name}"], "n": [n]})
+
+    return write
+
+
+def handed(df: DataFrame, name: str, through=None, schema: str | None = None, **more: Column) -> tuple[DataFrame, dict[str, int]]:
+    """counted() of df, or of what df.mapInArrow(through, schema) makes of it. Where the
+    shared folder is a local or mounted one, Python writes the files.
+
+    There Hadoop starts two chmods for each file that a JVM creates, and some for each
+    folder, which adds up over many small tables. Only files of tasks that ended are
+    reread, so nothing is renamed, and what a lost task left is not seen. Not for what
+    Python makes in another way, which would take a second worker for each task."""
+    spark = df.sparkSession
+    made = df.mapInArrow(through, schema) if through else df
+    path = fresh_dir(spark, name)
+    if not path.startswith("file:"):
+        return counted(made, name, **more)
+    seen = Observation()
+    rows = df.observe(seen, *(c.alias(k) for k, c in more.items())) if more else df
+    with _writing(spark):
+        files = rows.mapInArrow(_files(path, through), "file string, n bigint").collect()
+    found = {"n": sum(row.n for row in files)} | (seen.get if more else {})
+    if not files:
+        return spark.createDataFrame([], made.schema), found
+    return spark.read.schema(made.schema).parquet(*(row.file for row in files)), found
+
+
 #: Narrow rows that are worth a task of their own.
 TASK_ROWS = 50_000
 

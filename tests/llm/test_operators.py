@@ -3,10 +3,15 @@ texts, repeated rows, empty tables and extra columns."""
 
 import hashlib
 import math
+import os
 import random
 import re
+import shutil
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -563,6 +568,37 @@ def test_stupid_backoff_of_any_order_equals_brute_force(spark, order, block_docs
     assert got == want
 
 
+CLASSES = """
+import os, sys
+from pyspark.sql import SparkSession
+from boxloom.llm import neardup
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "file://" + sys.argv[1]).getOrCreate()
+text = " ".join(f"w{k}" for k in range(60))
+rows = neardup.classes(spark.createDataFrame([(1, text), (2, text + " x"), (3, text), (4, "other words")], "doc_id bigint, text string")).collect()
+print(sorted((r.doc_id, r.class_id, r.copy_of) for r in rows))
+"""
+
+
+def test_near_duplicates_start_no_process_for_each_file(tmp_path):
+    """While a process is started, it counts as the JVM's memory a second time."""
+    log, path = tmp_path / "log", tmp_path / "bin"
+    path.mkdir()
+    (path / "chmod").write_text(f'#!/bin/sh\necho "$@" >> {log}\nexec {shutil.which("chmod")} "$@"\n')
+    (path / "chmod").chmod(0o755)
+    env = os.environ | {"PATH": f"{path}:{os.environ['PATH']}", "PYTHONPATH": str(Path(__file__).resolve().parents[2])}
+    done = subprocess.run([sys.executable, "-c", CLASSES, str(tmp_path / "shared")], env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip() == "[(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 4, 4)]", done.stderr[-2000:]
+    assert [x for x in (log.read_text().splitlines() if log.exists() else []) if ".parquet" in x] == []
+
+
+def test_handed_tables_hold_what_is_given(spark):
+    given = spark.range(0, 5000, 1, 3).select("id", F.array("id", F.lit(None).cast("bigint")).alias("many"), F.when(F.col("id") % 2 == 0, F.lit("é")).alias("text"), F.encode(F.lit("b"), "utf-8").alias("raw"))
+    got, found = store.handed(given, "test", odd=F.count_if(F.col("id") % 2 == 1))
+    assert found == {"n": 5000, "odd": 2500} and got.dtypes == given.dtypes and sorted(got.collect()) == sorted(given.collect())
+    none, found = store.handed(given.where("id < 0"), "test")
+    assert found == {"n": 0} and none.dtypes == given.dtypes and none.count() == 0
+
+
 def test_a_stored_table_leaves_no_shuffle_files(spark):
     files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
     before = files()
